@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tarjuman.operators.providers import LATIN, LETTERS, transliterated
 from tarjuman.operators.rounds import judged
+from tarjuman.operators.shape import spread
 
 DIRT = """concat(text, case doc_id % 12
  when 0 then concat(chr(10), ' ', chr(9), chr(10), chr(10), 'Ask ChatGPT API or chatgpt about GPT-4o, GPT-3.5.')
@@ -30,10 +31,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "documents"), ["doc_id"])
+
+
 def dirty(spark: SparkSession, sf: str) -> DataFrame:
     """``(doc_id, text, lang, source, n_chars)`` with dirt in the text."""
-    docs = table(spark, sf, "documents")
-    return docs.withColumn("text", F.expr(DIRT))
+    return documents(spark, sf).withColumn("text", F.expr(DIRT))
 
 
 DIRTY = f"(select doc_id, {DIRT} as text, lang, source, n_chars from documents)"
@@ -140,7 +144,7 @@ def sql_scripted_reply(code: str, prompt: str) -> str:
 
 def candidates(spark: SparkSession, sf: str) -> DataFrame:
     """Six judged replies per document: two providers, three attempts each."""
-    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("raw"))
+    docs = documents(spark, sf).select("doc_id", F.col("text").alias("raw"))
     tries = docs.select(
         "*", F.explode(F.sequence(F.lit(1), F.lit(2))).alias("api_rank")
     ).select("*", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("attempt"))

@@ -87,7 +87,7 @@ def scan_csv_encoding(spark, sf):
 @query("scan_tsv", _ALL)
 def scan_tsv(spark, sf):
     path = new_folder(spark, "tsv")
-    _documents(spark, sf).write.csv(path, sep="\t", extension="tsv", **_CSV)
+    _documents(spark, sf).write.csv(path, sep="\t", **_CSV)
     return scans.scan_tsv(spark, path)
 
 
@@ -130,8 +130,8 @@ def scan_mixed(spark, sf):
     docs = _documents(spark, sf)
     share = [docs.where(F.pmod(F.hash("doc_id"), F.lit(5)) == i) for i in range(5)]
     share[0].write.csv(f"{path}/a", **_CSV)
-    share[1].write.csv(f"{path}/b", sep="\t", extension="tsv", **_CSV)
-    share[2].write.csv(f"{path}/c", extension="dat", **_CSV)
+    share[1].write.options(sep="\t", extension="tsv").csv(f"{path}/b", **_CSV)
+    share[2].write.option("extension", "dat").csv(f"{path}/c", **_CSV)
     share[3].write.json(f"{path}/d")
     share[4].write.parquet(f"{path}/e")
     return scans.scan_files(spark, path).select(*COLUMNS)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog import inputs
-from catalog.inputs import DIRTY, dirty, table
+from catalog.inputs import DIRTY, dirty, documents, table
 from catalog.registry import query
 from tarjuman.functions.text import preprocess, trim_text
 from tarjuman.operators import requests
@@ -86,7 +86,7 @@ _REPLIES = f"""select doc_id, true as success, {inputs.sql_transliterated("text"
 
 
 def _prompts(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.col("text").alias("prompt"))
+    return documents(spark, sf).select("doc_id", F.col("text").alias("prompt"))
 
 
 @query("provider_map", _REPLIES)

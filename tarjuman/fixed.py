@@ -39,9 +39,9 @@ TEXT_MEAN_LENGTH = 10
 SPECIAL_SHARE = 0.3
 
 # Regular expression classes (java.util.regex spelling).
-# WHITESPACE lists the 29 characters Unicode-aware regular expressions and
-# string trimming both count as blank; WHITESPACE_CHARS holds the same set.
-WHITESPACE = r"\t\n\x0b\f\r \x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# WHITESPACE names the 29 characters that Unicode-aware regular expressions and
+# string trimming both count as blank; WHITESPACE_CHARS lists the same set.
+WHITESPACE = r"\p{IsWhite_Space}\x1c-\x1f"
 WHITESPACE_CHARS = (
     "\t\n\x0b\x0c\r \x1c\x1d\x1e\x1f\x85\u00a0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"

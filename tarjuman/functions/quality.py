@@ -60,8 +60,7 @@ def is_valid(checks: dict[str, Column]) -> Column:
 
 def normalize_arabic(text: Column) -> Column:
     """Fold alef forms, collapse whitespace, strip the ends; null becomes empty."""
-    bare = fixed.ALEF * len(fixed.ALEF_FORMS)
-    folded = F.translate(text, fixed.ALEF_FORMS, bare)
+    folded = F.regexp_replace(text, f"[{fixed.ALEF_FORMS}]", fixed.ALEF)
     single = F.regexp_replace(folded, f"[{fixed.WHITESPACE}]+", " ")
     return F.coalesce(F.trim(single), F.lit(""))
 

@@ -41,13 +41,19 @@ def ordered_terms(custom: Mapping[str, str] | None = None) -> list[tuple[str, st
     return sorted(terms.items(), key=lambda item: -len(item[0]))
 
 
-def _guard_words(terms: list[tuple[str, str]]) -> list[str]:
-    """The shortest terms such that any match of a term contains one of them."""
+def _guard(terms: list[tuple[str, str]]) -> str:
+    """A fast pattern that finds something wherever some term matches.
+
+    Terms that contain another are left out, and first letters go into a class:
+    the pattern may find more than the terms, never less.
+    """
     words: list[str] = []
     for word in sorted({term.lower() for term, _ in terms}, key=len):
         if not any(known in word for known in words):
             words.append(word)
-    return words
+    first = "".join(sorted({re.escape(word[0]) for word in words}))
+    rest = "|".join(re.escape(word[1:]) for word in words)
+    return f"(?iu)[{first}](?:{rest})"
 
 
 def normalize_terms(text: Column, custom: Mapping[str, str] | None = None) -> Column:
@@ -61,8 +67,7 @@ def normalize_terms(text: Column, custom: Mapping[str, str] | None = None) -> Co
     for term, replacement in terms:
         literal = replacement.replace("\\", "\\\\").replace("$", "\\$")
         replaced = F.regexp_replace(replaced, rf"(?iuU)\b{re.escape(term)}\b", literal)
-    guard = "|".join(re.escape(word) for word in _guard_words(terms))
-    return F.when(text.rlike(f"(?iu)(?:{guard})"), replaced).otherwise(text)
+    return F.when(text.rlike(_guard(terms)), replaced).otherwise(text)
 
 
 def preprocess(

@@ -50,6 +50,13 @@ def read_progress(
     return done if upto is None else done.where(F.col("batch_id") <= upto)
 
 
+def discard_after(folder: str, like: DataFrame, upto: int, latest: int | None) -> None:
+    """Empty the batches after ``upto``, so that work goes on from that one."""
+    nothing = like.limit(0)
+    for batch_id in range(upto + 1, (latest or 0) + 1):
+        write_batch(nothing, folder, batch_id)
+
+
 def pending(work: DataFrame, done: DataFrame | None, key: list[str]) -> DataFrame:
     """Work not finished yet. Keys are unique on both sides."""
     if done is None:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from tarjuman import fixed
+from tarjuman.operators.skew import hot_keys, salted_join
 
 REPLY_FIELDS = (
     StructField("success", BooleanType()),
@@ -51,7 +52,8 @@ class MemoryProvider:
     """Replies looked up in a translation memory ``(text, translation)``.
 
     The memory may be of any size: Spark broadcasts it only when its statistics
-    say it is small. Prompts are matched as whole texts, through their digest.
+    say it is small. Prompts are matched as whole texts, through their digest;
+    the other columns of the prompts tell copies of a prompt apart.
     """
 
     name: str
@@ -62,7 +64,11 @@ class MemoryProvider:
         known = self.memory.groupBy(F.sha2("text", 256).alias("_digest")).agg(
             F.min("translation").alias("_known")
         )
-        found = prompts.withColumn("_digest", F.sha2("prompt", 256)).join(known, "_digest", "left")
+        asked = prompts.withColumn("_digest", F.sha2("prompt", 256))
+        sizes = asked.groupBy("_digest").agg(F.count(F.lit(1)).alias("_size"))
+        others = [c for c in prompts.columns if c != "prompt"]
+        hot = hot_keys(sizes, "_digest", "_size")
+        found = salted_join(asked, known, "_digest", others, hot)
         hit = F.col("_known").isNotNull()
         return found.select(
             *prompts.columns,

@@ -11,6 +11,16 @@ from tarjuman.operators.ordered import position, sorted_runs
 LIMIT_IN_ONE_TASK = 100_000
 
 
+def spread(df: DataFrame, key: list[str]) -> DataFrame:
+    """Deal out a scan that has fewer splits than there are cores.
+
+    Work on texts is bound by the processor, and a small file is a single split.
+    A scan of many splits is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *key)
+
+
 def detect_text_columns(
     df: DataFrame, null_word: str = "nan", min_mean: float = fixed.TEXT_MEAN_LENGTH
 ) -> DataFrame:

@@ -28,6 +28,28 @@ def run_stats(
     )
 
 
+def stats_from_outcomes(
+    rows: DataFrame, requests: DataFrame, finished: DataFrame, providers: list[str]
+) -> DataFrame:
+    """The row of :func:`run_stats`, from distinct texts instead of the wide table.
+
+    ``requests`` holds ``(text_key, n_cells)``, ``finished`` ``(text_key, api)``.
+    """
+    settled = requests.select("text_key", "n_cells").join(
+        finished.select("text_key", "api"), "text_key", "left"
+    )
+
+    def cells(test: Column) -> Column:
+        return F.coalesce(F.sum(F.when(test, F.col("n_cells"))), F.lit(0)).cast("long")
+
+    return settled.agg(
+        rows.agg(F.count(F.lit(1))).scalar().alias("total"),
+        cells(F.col("api").isNotNull()).alias("successful"),
+        cells(F.col("api").isNull()).alias("failed"),
+        *[cells(F.col("api") == api).alias(f"{api}_used") for api in providers],
+    )
+
+
 def _failed(column: str, suffix: str, null_policy: str) -> Column:
     missing = F.col(f"`{column}_{suffix}`").isNull()
     return missing if null_policy == "literal" else missing & F.col(f"`{column}`").isNotNull()

@@ -6,11 +6,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tarjuman import fixed
-from tarjuman.operators import statistics
 from tarjuman.operators.shape import (
     keep_columns, limit_rows, missing_columns, text_columns, with_row_id,
 )
-from tarjuman.plans.translate import translate
+from tarjuman.operators.statistics import stats_from_outcomes
+from tarjuman.plans.translate import failed_cells, translate
 from tarjuman.sources.scans import load_table
 from tarjuman.sources.sinks import write_statistics, write_table
 
@@ -45,7 +45,7 @@ class JobResult:
     table: DataFrame
     stats: DataFrame
     failures: DataFrame
-    attempts: DataFrame | None
+    attempts: DataFrame
     columns: list[str]
 
 
@@ -121,8 +121,8 @@ def run_job(spark: SparkSession, options: Mapping, providers: Mapping[str, objec
     write_table(result, out["path"], out["format"])
 
     names = [p.name for p in order]
-    stats = statistics.run_stats(full, columns, names, trans["suffix"], trans["null_policy"])
-    failures = statistics.failed_cells(full, key, columns, trans["suffix"], trans["null_policy"])
+    stats = stats_from_outcomes(table, done.requests, done.finished, names)
+    failures = failed_cells(table, columns, key, done, trans["null_policy"])
     if out["save_statistics"]:
         write_statistics(stats, failures, out["path"])
     return JobResult(result, stats, failures, done.attempts, columns)

@@ -29,12 +29,14 @@ class Translation:
     """What a run produced.
 
     ``table`` is the translated table, ``requests`` the distinct texts of the
-    table, ``attempts`` every provider call of this run (None if it made none).
+    table, ``finished`` the outcome per text, which may include texts of earlier
+    runs, and ``attempts`` every provider call of this run.
     """
 
     table: DataFrame
     requests: DataFrame
-    attempts: DataFrame | None
+    finished: DataFrame
+    attempts: DataFrame
 
 
 def text_key(text: Column) -> Column:
@@ -88,8 +90,8 @@ def translate(
 
     Distinct texts go to the providers in rounds, in ``batches`` (or batches of
     about ``batch_rows`` texts); a finished batch is kept in ``progress_folder``.
-    With ``resume`` the texts finished there, up to batch ``upto``, are not sent
-    again. Only the provider calls run here; the returned table is lazy.
+    With ``resume`` the texts finished there are not sent again; ``upto`` names the
+    batch to go on from and drops later ones. Only the provider calls run here; the returned table is lazy.
     """
     spark = df.sparkSession
     missing = [c for c in [*key, *columns] if c not in df.columns]
@@ -102,44 +104,46 @@ def translate(
     requests = spark.read.schema(found.schema).parquet(folder)
 
     lasting = progress_folder or new_folder(spark, "progress")
-    done = progress.read_progress(spark, lasting, OUTCOME_SCHEMA, upto) if resume else None
     latest = progress.latest_batch(spark, lasting)
-    first = 0 if latest is None else latest + 1
     if not resume and latest is not None:
         raise ValueError(f"{lasting} holds finished work; resume from it or name another folder")
+    done = progress.read_progress(spark, lasting, OUTCOME_SCHEMA, upto)
+    if upto is not None and done is not None:
+        progress.discard_after(lasting, done.drop("batch_id"), upto, latest)
+        latest = min(latest, upto)
+    first = 0 if latest is None else latest + 1
 
     todo = progress.pending(requests, done, ["text_key"])
     if batch_rows:
         batches = max(1, math.ceil(todo.count() / batch_rows))
+    splits = requests.rdd.getNumPartitions()
     rounds_folder = new_folder(spark, "rounds")
     attempts = None
-    for number, batch in enumerate(_split(todo, batches)):
+    for number, batch in enumerate(_split(todo, batches, splits)):
         attempts = run_rounds(
             batch, providers, f"{rounds_folder}/batch={number}", max_retries, backoff, script
         )
         progress.write_batch(outcomes(attempts), lasting, first + number)
-    if batches > 1 and attempts is not None:
+    if batches > 1:
         full = StructType([*attempts.schema.fields, StructField("batch", IntegerType())])
         attempts = spark.read.schema(full).parquet(rounds_folder)
 
     finished = progress.read_progress(spark, lasting, OUTCOME_SCHEMA)
-    if upto is not None and done is not None:
-        # Batches after the named one are replaced by what this run made of them.
-        finished = finished.where((F.col("batch_id") <= upto) | (F.col("batch_id") >= first))
     table = join_outcomes(df, columns, key, finished, requests, null_policy, suffix, preserve)
-    return Translation(table, requests, attempts)
+    return Translation(table, requests, finished, attempts)
 
 
-def _split(todo: DataFrame, batches: int) -> list[DataFrame]:
+def _split(todo: DataFrame, batches: int, splits: int) -> list[DataFrame]:
     """``todo`` in parts of even size, each readable without scanning the others."""
     if batches == 1:
         return [todo]
     spark = todo.sparkSession
     folder = new_folder(spark, "batches")
     dealt = todo.withColumn("part", F.pmod(F.xxhash64("text_key"), F.lit(batches)).cast("int"))
-    # Two levels of hashing: a few files per part, and no part in a single task.
-    piece = F.pmod(F.hash("text_key"), F.lit(8))
-    dealt.repartition("part", piece).write.partitionBy("part").parquet(folder)
+    # Pieces keep every core busy, while a task writes to few parts.
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), splits)
+    piece = F.pmod(F.hash("text_key"), F.lit(math.ceil(width / batches)))
+    dealt.repartition(width, "part", piece).write.partitionBy("part").parquet(folder)
     parts = spark.read.schema(dealt.schema).parquet(folder)
     return [parts.where(F.col("part") == i).drop("part") for i in range(batches)]
 
@@ -173,7 +177,22 @@ def join_outcomes(
     return attach_translations(df, wide, key, preserve)
 
 
-def translate_table(df: DataFrame, columns: Sequence[str], providers: Sequence,
-                    key: Sequence[str], **options) -> DataFrame:
+def failed_cells(
+    df: DataFrame, columns: Sequence[str], key: Sequence[str], run: Translation,
+    null_policy: str = "skip",
+) -> DataFrame:
+    """``(*key, column, error)`` per cell whose text got no translation."""
+    lost = run.finished.where(F.col("translation").isNull()).select("text_key", "error")
+    cells = unpivot_cells(df, list(key), list(columns), null_policy).where(
+        F.col("text").isNotNull()
+    )
+    keyed = cells.select(*key, "column", text_key(F.col("text")).alias("text_key"))
+    hot = hot_keys(run.requests, "text_key", "n_cells")
+    return salted_join(keyed, lost, "text_key", [*key, "column"], hot, "inner").drop("text_key")
+
+
+def translate_table(
+    df: DataFrame, columns: Sequence[str], providers: Sequence, key: Sequence[str], **options
+) -> DataFrame:
     """The table of :func:`translate` alone."""
     return translate(df, columns, providers, key, **options).table
