@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tarjuman.operators.providers import LATIN, LETTERS, transliterated
 from tarjuman.operators.rounds import judged
 from tarjuman.operators.shape import spread
+from tarjuman.workspace import materialize
 
 DIRT = """concat(text, case doc_id % 12
  when 0 then concat(chr(10), ' ', chr(9), chr(10), chr(10), 'Ask ChatGPT API or chatgpt about GPT-4o, GPT-3.5.')
@@ -161,6 +162,15 @@ def candidates(spark: SparkSession, sf: str) -> DataFrame:
     return judged(asked)
 
 
+def attempts(spark: SparkSession, sf: str) -> DataFrame:
+    """The candidates as a run leaves them: written, with accepted texts only."""
+    accepted = F.when(F.col("is_valid"), F.col("translation")).alias("translation")
+    kept = candidates(spark, sf).select(
+        "doc_id", "column", "api", "api_rank", "attempt", "success", "is_valid", accepted
+    )
+    return materialize(kept, "attempts")
+
+
 _CHECKS = ", ".join(f'{sql} as "{name}"' for name, sql in sql_checks("raw", "translation").items())
 CANDIDATES = f"""(select *, success and {sql_valid("raw", "translation")} as is_valid, {_CHECKS} from (
  select doc_id, 'text' as "column", api, api_rank, attempt, raw, code <> 0 as success,

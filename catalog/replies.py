@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog import inputs
-from catalog.inputs import ACCEPTED, CANDIDATES, DIRTY, candidates, dirty
+from catalog.inputs import ACCEPTED, CANDIDATES, DIRTY, attempts, candidates, dirty
 from catalog.registry import query
 from tarjuman.functions import quality as Q
 from tarjuman.operators import rounds, statistics
@@ -65,7 +65,7 @@ def postprocess(spark, sf):
 
 @query("first_valid", f"""select doc_id, api, attempt, translation from {ACCEPTED}""")
 def first_valid(spark, sf):
-    return rounds.first_valid(candidates(spark, sf), CELL).select(*ATTEMPT, "translation")
+    return rounds.first_valid(attempts(spark, sf), CELL).select(*ATTEMPT, "translation")
 
 
 @query("exhausted_cells", f"""select doc_id, 'text' as "column",
@@ -73,7 +73,7 @@ def first_valid(spark, sf):
  where doc_id not in (select doc_id from {ACCEPTED})""")
 def exhausted_cells(spark, sf):
     docs = inputs.table(spark, sf, "documents").select("doc_id", F.lit("text").alias("column"))
-    return rounds.exhausted_cells(docs, rounds.first_valid(candidates(spark, sf), CELL), CELL)
+    return rounds.exhausted_cells(docs, rounds.first_valid(attempts(spark, sf), CELL), CELL)
 
 
 # Attempts a cell-by-cell run makes: up to and including the first valid one.
@@ -85,19 +85,19 @@ _MADE = f"""(select c.* from {CANDIDATES} c left join {ACCEPTED} a using (doc_id
  case when is_valid then 'accepted' when success then 'rejected' else 'error' end as outcome,
  count(*) as attempts from {_MADE} group by 1, 2""")
 def attempt_outcomes(spark, sf):
-    return rounds.attempt_outcomes(rounds.attempts_made(candidates(spark, sf), CELL))
+    return rounds.attempt_outcomes(rounds.attempts_made(attempts(spark, sf), CELL))
 
 
 @query("backoff_seconds", f"""select doc_id, "column", count(*) as attempts,
  sum(case when not is_valid and attempt < 3 then 2.0 ** (attempt - 1) else 0 end)::double
   as backoff_seconds from {_MADE} group by 1, 2""")
 def backoff_seconds(spark, sf):
-    return rounds.backoff_seconds(candidates(spark, sf), CELL)
+    return rounds.backoff_seconds(attempts(spark, sf), CELL)
 
 
 def _translated(spark, sf):
     """Documents with what the scripted attempts made of their text."""
-    kept = rounds.first_valid(candidates(spark, sf), CELL).select(
+    kept = rounds.first_valid(attempts(spark, sf), CELL).select(
         "doc_id", F.col("translation").alias("text_ar"), F.col("api").alias("text_api")
     )
     docs = inputs.table(spark, sf, "documents").select("doc_id", "text", "lang")
@@ -133,4 +133,4 @@ def top_failures(spark, sf):
 @query("provider_usage", f"""select api, "column", count(*) as used
  from {ACCEPTED} group by rollup (api, "column")""")
 def provider_usage(spark, sf):
-    return statistics.provider_usage(rounds.first_valid(candidates(spark, sf), CELL))
+    return statistics.provider_usage(rounds.first_valid(attempts(spark, sf), CELL))

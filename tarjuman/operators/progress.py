@@ -50,11 +50,12 @@ def read_progress(
     return done if upto is None else done.where(F.col("batch_id") <= upto)
 
 
-def discard_after(folder: str, like: DataFrame, upto: int, latest: int | None) -> None:
+def discard_after(folder: str, like: DataFrame, upto: int, latest: int) -> None:
     """Empty the batches after ``upto``, so that work goes on from that one."""
-    nothing = like.limit(0)
-    for batch_id in range(upto + 1, (latest or 0) + 1):
-        write_batch(nothing, folder, batch_id)
+    for batch_id in range(upto + 1, latest + 1):
+        nothing = like.limit(0).withColumn("round", F.lit(0))
+        writer = nothing.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy("round").parquet(batch_path(folder, batch_id))
 
 
 def pending(work: DataFrame, done: DataFrame | None, key: list[str]) -> DataFrame:

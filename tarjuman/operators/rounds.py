@@ -5,12 +5,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import (
+    BooleanType, IntegerType, LongType, StringType, StructField, StructType,
+)
 
 from tarjuman import fixed
 from tarjuman.functions.quality import CHECKS, is_valid, postprocess, quality_checks
 
 
+# The attempts table, but for the partition columns ``batch_id`` and ``round``.
+_FIELDS = [
+    ("text_key", StringType()), ("prompt", StringType()),
+    ("original_length", IntegerType()), ("n_cells", LongType()),
+    ("api", StringType()), ("api_rank", IntegerType()), ("attempt", IntegerType()),
+    ("success", BooleanType()), ("error", StringType()),
+    *[(check, BooleanType()) for check in (*CHECKS, "is_valid", "settled")],
+    ("translation", StringType()),
+]
+ATTEMPTS = StructType([StructField(name, kind) for name, kind in _FIELDS])
+
+
 def run_rounds(
     requests: DataFrame,
     providers: Sequence,
@@ -18,47 +32,38 @@ def run_rounds(
     max_retries: int = fixed.MAX_RETRIES,
     backoff: float = fixed.BACKOFF_MULTIPLIER,
     script: str = fixed.ARABIC,
-) -> DataFrame:
+) -> None:
     """Ask each provider up to ``max_retries`` times until a reply is valid.
 
     ``requests`` holds ``(text_key, prompt, original_length, n_cells)``. A round
-    calls one provider once for everything still open and writes the outcome to
-    ``folder/round=N``; the next round reads the rejected part of that table, so
-    rounds neither shuffle nor repeat a call. Returns the attempts table.
+    calls one provider once for everything still open and writes the attempts to
+    ``folder/round=N``; the next round reads the open part of that table. So
+    rounds need no shuffle, repeat no call, and a run that stops keeps what its
+    finished rounds settled.
     """
     spark = requests.sparkSession
-    schema = None
     pending = requests.select("text_key", "prompt", "original_length", "n_cells")
-    number = 0
-    for rank, provider in enumerate(providers, start=1):
-        for attempt in range(1, max_retries + 1):
-            number += 1
-            outcome = judged(provider.answer(pending, attempt), script)
-            kept = outcome.select(
-                "text_key",
-                # A settled request needs its prompt no more.
-                F.when(~F.col("is_valid"), F.col("prompt")).alias("prompt"),
-                "original_length", "n_cells",
-                F.lit(provider.name).alias("api"),
-                F.lit(rank).alias("api_rank"),
-                F.lit(attempt).alias("attempt"),
-                "success", "error", "is_valid", *CHECKS,
-                F.when(F.col("is_valid"), postprocess(F.col("translation"))).alias("translation"),
-            )
-            target = f"{folder}/round={number}"
-            kept.write.mode("overwrite").parquet(target)
-            schema = kept.schema
-            pending = spark.read.schema(schema).parquet(target).where(~F.col("is_valid"))
-            if pending.isEmpty():
-                return _attempts(spark, folder, schema)
-            if provider.remote and attempt < max_retries:
-                time.sleep(backoff ** (attempt - 1))
-    return _attempts(spark, folder, schema)
-
-
-def _attempts(spark, folder: str, schema: StructType) -> DataFrame:
-    full = StructType([*schema.fields, StructField("round", IntegerType())])
-    return spark.read.schema(full).parquet(folder)
+    tries = [(r, p, a) for r, p in enumerate(providers, 1) for a in range(1, max_retries + 1)]
+    for number, (rank, provider, attempt) in enumerate(tries, start=1):
+        settled = F.col("is_valid") | F.lit(number == len(tries))
+        outcome = judged(provider.answer(pending, attempt), script).withColumn("settled", settled)
+        target = f"{folder}/round={number}"
+        outcome.select(
+            "text_key",
+            # A settled request needs its prompt no more.
+            F.when(~F.col("settled"), F.col("prompt")).alias("prompt"),
+            "original_length", "n_cells",
+            F.lit(provider.name).alias("api"),
+            F.lit(rank).alias("api_rank"),
+            F.lit(attempt).alias("attempt"),
+            "success", "error", *CHECKS, "is_valid", "settled",
+            F.when(F.col("is_valid"), postprocess(F.col("translation"))).alias("translation"),
+        ).write.mode("overwrite").parquet(target)
+        pending = spark.read.schema(ATTEMPTS).parquet(target).where(~F.col("settled"))
+        if pending.isEmpty():
+            return
+        if provider.remote and attempt < max_retries:
+            time.sleep(backoff ** (attempt - 1))
 
 
 def judged(answered: DataFrame, script: str = fixed.ARABIC) -> DataFrame:
@@ -70,19 +75,15 @@ def judged(answered: DataFrame, script: str = fixed.ARABIC) -> DataFrame:
 
 
 def outcomes(attempts: DataFrame) -> DataFrame:
-    """One row per request: its accepted translation, or why there is none.
+    """One row per settled request: its translation, or why there is none.
 
-    The rounds leave exactly one such row: the accepted attempt, or the rejected
-    one of the last round. No shuffle is needed to find it.
+    A request is settled by one attempt only, so no shuffle is needed to find it.
     """
-    last = attempts.agg(F.max("round")).first()[0]
-    settled = attempts.where(F.col("is_valid") | (F.col("round") == last))
-    return settled.select(
+    return attempts.where("settled").select(
         "text_key",
         "translation",
         F.when(F.col("is_valid"), F.col("api")).alias("api"),
         F.when(~F.col("is_valid"), F.lit(fixed.EXHAUSTED)).alias("error"),
-        "n_cells",
     )
 
 

@@ -1,11 +1,12 @@
 """Columns, rows and cells of a table."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tarjuman import fixed
 from tarjuman.operators.ordered import position, sorted_runs
+from tarjuman.operators.skew import hot_keys, salted_join
 
 # Above this many rows an ordered limit is taken by position, not by one task.
 LIMIT_IN_ONE_TASK = 100_000
@@ -79,8 +80,12 @@ def limit_rows(df: DataFrame, key: str | list[str], n: int) -> DataFrame:
     order = [key] if isinstance(key, str) else list(key)
     if n <= LIMIT_IN_ONE_TASK:
         return df.orderBy(*order).limit(n)
-    placed = position(sorted_runs(df, order), [], "_position")
-    return placed.where(F.col("_position") < n).select(df.columns)
+    # The n-th key, found among the keys alone, bounds the rows wanted.
+    placed = position(sorted_runs(df.select(*order), order), [], "_position")
+    last = placed.where(F.col("_position") == n - 1).select(*order).first()
+    if last is None:
+        return df
+    return df.where(F.struct(*order) <= F.struct(*[F.lit(last[c]).alias(c) for c in order]))
 
 
 def translated_names(columns: list[str], suffix: str = "ar") -> list[str]:
@@ -107,8 +112,15 @@ def with_row_id(df: DataFrame, dense: str | None = None) -> DataFrame:
     )
     if dense is None:
         return keyed
-    runs = sorted_runs(keyed, ["source_file", "source_row"])
-    return position(runs, [], dense).select(*keyed.columns, dense)
+    # A row's number is its place in the file after all rows of earlier files.
+    sizes = keyed.groupBy("source_file").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy("source_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "source_file", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset")
+    )
+    hot = hot_keys(sizes, "source_file", "_rows")
+    placed = salted_join(keyed, offsets, "source_file", ["source_row"], hot)
+    return placed.select(*keyed.columns, (F.col("_offset") + F.col("source_row")).alias(dense))
 
 
 def cell_text(column: Column, null_policy: str = "skip", null_word: str = "nan") -> Column:

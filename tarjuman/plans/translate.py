@@ -4,26 +4,20 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from tarjuman import fixed
 from tarjuman.functions.text import preprocess
 from tarjuman.operators import progress
-from tarjuman.operators.rounds import outcomes, run_rounds
+from tarjuman.operators.rounds import ATTEMPTS, outcomes, run_rounds
 from tarjuman.operators.shape import (
     attach_translations, cell_text, pivot_cells, unpivot_cells,
 )
 from tarjuman.operators.skew import hot_keys, salted_join
 from tarjuman.workspace import new_folder
 
-OUTCOME_SCHEMA = (
-    StructType().add("text_key", "string").add("translation", "string")
-    .add("api", "string").add("error", "string").add("n_cells", "long")
-)
-
-
 @dataclass(frozen=True)
 class Translation:
     """What a run produced.
@@ -89,7 +83,7 @@ def translate(
     """Translate ``columns`` of ``df``, whose rows ``key`` identifies.
 
     Distinct texts go to the providers in rounds, in ``batches`` (or batches of
-    about ``batch_rows`` texts); a finished batch is kept in ``progress_folder``.
+    about ``batch_rows`` texts); finished rounds are kept in ``progress_folder``.
     With ``resume`` the texts finished there are not sent again; ``upto`` names the
     batch to go on from and drops later ones. Only the provider calls run here; the returned table is lazy.
     """
@@ -107,30 +101,30 @@ def translate(
     latest = progress.latest_batch(spark, lasting)
     if not resume and latest is not None:
         raise ValueError(f"{lasting} holds finished work; resume from it or name another folder")
-    done = progress.read_progress(spark, lasting, OUTCOME_SCHEMA, upto)
-    if upto is not None and done is not None:
-        progress.discard_after(lasting, done.drop("batch_id"), upto, latest)
+    if upto is not None and latest is not None:
+        progress.discard_after(lasting, _attempts(spark, lasting), upto, latest)
         latest = min(latest, upto)
     first = 0 if latest is None else latest + 1
 
+    done = None if latest is None else outcomes(_attempts(spark, lasting))
     todo = progress.pending(requests, done, ["text_key"])
     if batch_rows:
         batches = max(1, math.ceil(todo.count() / batch_rows))
     splits = requests.rdd.getNumPartitions()
-    rounds_folder = new_folder(spark, "rounds")
-    attempts = None
-    for number, batch in enumerate(_split(todo, batches, splits)):
-        attempts = run_rounds(
-            batch, providers, f"{rounds_folder}/batch={number}", max_retries, backoff, script
-        )
-        progress.write_batch(outcomes(attempts), lasting, first + number)
-    if batches > 1:
-        full = StructType([*attempts.schema.fields, StructField("batch", IntegerType())])
-        attempts = spark.read.schema(full).parquet(rounds_folder)
-
-    finished = progress.read_progress(spark, lasting, OUTCOME_SCHEMA)
+    for number, batch in enumerate(_split(todo, batches, splits), start=first):
+        folder = progress.batch_path(lasting, number)
+        run_rounds(batch, providers, folder, max_retries, backoff, script)
+    attempts = _attempts(spark, lasting)
+    finished = outcomes(attempts)
     table = join_outcomes(df, columns, key, finished, requests, null_policy, suffix, preserve)
-    return Translation(table, requests, finished, attempts)
+    return Translation(table, requests, finished, attempts.where(F.col("batch_id") >= first))
+
+
+def _attempts(spark: SparkSession, folder: str) -> DataFrame:
+    """All attempts below a progress folder, from ``batch_id=N/round=N``."""
+    places = [StructField("batch_id", LongType()), StructField("round", IntegerType())]
+    schema = StructType([*ATTEMPTS.fields, *places])
+    return spark.read.schema(schema).parquet(folder)
 
 
 def _split(todo: DataFrame, batches: int, splits: int) -> list[DataFrame]:
@@ -182,7 +176,7 @@ def failed_cells(
     null_policy: str = "skip",
 ) -> DataFrame:
     """``(*key, column, error)`` per cell whose text got no translation."""
-    lost = run.finished.where(F.col("translation").isNull()).select("text_key", "error")
+    lost = run.finished.where(F.col("api").isNull()).select("text_key", "error")
     cells = unpivot_cells(df, list(key), list(columns), null_policy).where(
         F.col("text").isNotNull()
     )
