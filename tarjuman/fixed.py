@@ -49,9 +49,10 @@ WHITESPACE_CHARS = (
 )
 CONTROL = r"\x00-\x08\x0b-\x0c\x0e-\x1f\x7f-\x9f"
 ARABIC = r"\u0600-\u06ff\u0750-\u077f\u08a0-\u08ff"
+WORD = r"\p{L}\p{N}_"
 CODE_FENCE = "```"
-CODE_WORDS = r"(?U)\b(def|class|function|import|const|var|let)\b"
-EMAIL = r"(?U)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b"
+CODE_WORDS = "def|class|function|import|const|var|let"
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}"
 URL_PREFIXES = ("http://", "https://")
 
 # Traces of text decoded with the wrong encoding.

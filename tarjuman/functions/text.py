@@ -41,6 +41,15 @@ def ordered_terms(custom: Mapping[str, str] | None = None) -> list[tuple[str, st
     return sorted(terms.items(), key=lambda item: -len(item[0]))
 
 
+# Word boundaries spelled out: what java.util.regex counts as a word changes with
+# its flags and version, and includes marks that are no letters.
+# A letter beyond the basic plane, written out, makes lookbehind step over pairs.
+_BEFORE = f"[{fixed.WORD}\U00010400]"
+NO_WORD_BEFORE = f"(?<!{_BEFORE})"
+NO_WORD_AFTER = f"(?![{fixed.WORD}])"
+BOUNDARY = f"(?:{NO_WORD_BEFORE}(?=[{fixed.WORD}])|(?<={_BEFORE}){NO_WORD_AFTER})"
+
+
 def _guard(terms: list[tuple[str, str]]) -> str:
     """A fast pattern that finds something wherever some term matches.
 
@@ -66,7 +75,8 @@ def normalize_terms(text: Column, custom: Mapping[str, str] | None = None) -> Co
     replaced = text
     for term, replacement in terms:
         literal = replacement.replace("\\", "\\\\").replace("$", "\\$")
-        replaced = F.regexp_replace(replaced, rf"(?iuU)\b{re.escape(term)}\b", literal)
+        pattern = f"(?iu){BOUNDARY}{re.escape(term)}{BOUNDARY}"
+        replaced = F.regexp_replace(replaced, pattern, literal)
     return F.when(text.rlike(_guard(terms)), replaced).otherwise(text)
 
 
@@ -79,7 +89,8 @@ def preprocess(
 
 
 def contains_code(text: Column) -> Column:
-    return text.contains(fixed.CODE_FENCE) | text.rlike(fixed.CODE_WORDS)
+    words = f"{NO_WORD_BEFORE}(?:{fixed.CODE_WORDS}){NO_WORD_AFTER}"
+    return text.contains(fixed.CODE_FENCE) | text.rlike(words)
 
 
 def contains_urls(text: Column) -> Column:
@@ -89,7 +100,7 @@ def contains_urls(text: Column) -> Column:
 
 def contains_emails(text: Column) -> Column:
     # The byte search for "@" spares most texts the pattern.
-    return text.contains("@") & text.rlike(fixed.EMAIL)
+    return text.contains("@") & text.rlike(f"{BOUNDARY}{fixed.EMAIL}{BOUNDARY}")
 
 
 def special_char_ratio(text: Column) -> Column:
