@@ -13,6 +13,7 @@ from tarjuman import fixed
 from tarjuman.functions.quality import CHECKS, is_valid, postprocess, quality_checks
 
 
+REQUEST = ["text_key", "prompt", "original_length", "n_cells"]
 # The attempts table, but for the partition columns ``batch_id`` and ``round``.
 _FIELDS = [
     ("text_key", StringType()), ("prompt", StringType()),
@@ -42,7 +43,7 @@ def run_rounds(
     finished rounds settled.
     """
     spark = requests.sparkSession
-    pending = requests.select("text_key", "prompt", "original_length", "n_cells")
+    pending = requests.select(REQUEST)
     tries = [(r, p, a) for r, p in enumerate(providers, 1) for a in range(1, max_retries + 1)]
     for number, (rank, provider, attempt) in enumerate(tries, start=1):
         settled = F.col("is_valid") | F.lit(number == len(tries))
@@ -52,14 +53,16 @@ def run_rounds(
             "text_key",
             # A settled request needs its prompt no more.
             F.when(~F.col("settled"), F.col("prompt")).alias("prompt"),
-            "original_length", "n_cells",
+            "original_length",
+            "n_cells",
             F.lit(provider.name).alias("api"),
             F.lit(rank).alias("api_rank"),
             F.lit(attempt).alias("attempt"),
             "success", "error", *CHECKS, "is_valid", "settled",
             F.when(F.col("is_valid"), postprocess(F.col("translation"))).alias("translation"),
         ).write.mode("overwrite").parquet(target)
-        pending = spark.read.schema(ATTEMPTS).parquet(target).where(~F.col("settled"))
+        written = spark.read.schema(ATTEMPTS).parquet(target)
+        pending = written.where(~F.col("settled")).select(REQUEST)
         if pending.isEmpty():
             return
         if provider.remote and attempt < max_retries:
