@@ -7,6 +7,7 @@ run and group carries the result of the earlier runs over.
 """
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,42 +35,51 @@ def sorted_runs(df: DataFrame, order: list[str]) -> DataFrame:
     return materialize(placed, "runs")
 
 
-def running(
-    runs: DataFrame,
-    by: list[str],
-    value: Column,
-    total: Callable[[Column], Column],
-    merge: Callable[[Column, Column], Column],
-    name: str,
-    backwards: bool = False,
-) -> DataFrame:
-    """Add ``name``: ``total`` of ``value`` over the rows of the group up to this one.
+@dataclass(frozen=True)
+class Measure:
+    """A running value called ``name``: ``total`` of ``value`` up to each row.
+
+    ``merge`` combines the total carried over with the one within the run.
+    ``backwards`` runs from the end of the order.
+    """
+
+    name: str
+    value: Column
+    total: Callable[[Column], Column]
+    merge: Callable[[Column, Column], Column]
+    backwards: bool = False
+
+    def along(self, column: str) -> Column:
+        return F.col(column).desc() if self.backwards else F.col(column).asc()
+
+
+def running(runs: DataFrame, by: list[str], *measures: Measure) -> DataFrame:
+    """Add the measures, each over the rows of its group up to this one.
 
-    ``merge`` combines two totals. ``backwards`` runs from the end of the order.
     A group is one value of ``by`` and must be contiguous, or nested in a
     contiguous one, in the order of ``runs``.
     """
-    def ahead(column: str) -> Column:
-        return F.col(column).desc() if backwards else F.col(column).asc()
-
-    within = (
-        Window.partitionBy("run", *by).orderBy(ahead("pos"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    # At most one row per run in each group.
-    earlier = (
-        Window.partitionBy(*by).orderBy(ahead("run")).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = (
-        runs.groupBy("run", *by).agg(total(value).alias("_total"))
-        .withColumn("_carry", total(F.col("_total")).over(earlier)).drop("_total")
+    totals = runs.groupBy("run", *by).agg(
+        *[m.total(m.value).alias(f"_total_{m.name}") for m in measures]
     )
-    local = runs.withColumn("_local", total(value).over(within))
-    same = [local[c].eqNullSafe(carried[c]) for c in ["run", *by]]
-    joined = local.join(carried, same, "left")
-    for column in ["run", *by]:
-        joined = joined.drop(carried[column])
-    return joined.withColumn(name, merge(F.col("_carry"), F.col("_local"))).drop("_carry", "_local")
+    local, carries = {}, []
+    for m in measures:
+        within = Window.partitionBy("run", *by).orderBy(m.along("pos"))
+        within = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        local[f"_local_{m.name}"] = m.total(m.value).over(within)
+        # At most one row per run in each group.
+        earlier = Window.partitionBy(*by).orderBy(m.along("run"))
+        earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+        carry = m.total(F.col(f"_total_{m.name}")).over(earlier)
+        carries.append(carry.alias(f"_carry_{m.name}"))
+    groups = {c: f"_of_{c}" for c in ["run", *by]}
+    carried = totals.select(*[F.col(c).alias(name) for c, name in groups.items()], *carries)
+    same = [F.col(c).eqNullSafe(F.col(name)) for c, name in groups.items()]
+    merged = {
+        m.name: m.merge(F.col(f"_carry_{m.name}"), F.col(f"_local_{m.name}")) for m in measures
+    }
+    spent = [*groups.values(), *[f"_{part}_{m.name}" for m in measures for part in ("carry", "local")]]
+    return runs.withColumns(local).join(carried, same, "left").withColumns(merged).drop(*spent)
 
 
 def add(carry: Column, local: Column) -> Column:
@@ -78,5 +88,5 @@ def add(carry: Column, local: Column) -> Column:
 
 def position(runs: DataFrame, by: list[str], name: str) -> DataFrame:
     """Add the zero-based place of each row in its group."""
-    numbered = running(runs, by, F.lit(1).cast("long"), F.sum, add, name)
+    numbered = running(runs, by, Measure(name, F.lit(1).cast("long"), F.sum, add))
     return numbered.withColumn(name, F.col(name) - 1)

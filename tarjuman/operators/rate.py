@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarjuman.fixed import RATE_WINDOW_SECONDS, REQUESTS_PER_MINUTE
-from tarjuman.operators.ordered import add, position, running, sorted_runs
+from tarjuman.operators.ordered import Measure, add, position, running, sorted_runs
 
 MICROS = 1_000_000
 
@@ -31,9 +31,10 @@ def trailing_calls(
     marked = calls.select(key, lane, micros, marks)
     runs = sorted_runs(marked, [lane, "_at", "_kind", key])
     is_call = F.col("_kind") == 1
-    counted = running(runs, [lane], is_call.cast("long"), F.sum, add, "_count")
     looked = running(
-        counted, [lane], F.when(is_call, F.col("_at")), F.min, F.least, "_next", backwards=True
+        runs, [lane],
+        Measure("_count", is_call.cast("long"), F.sum, add),
+        Measure("_next", F.when(is_call, F.col("_at")), F.min, F.least, backwards=True),
     )
     opens, closes = F.col("_kind") == 0, F.col("_kind") == 2
     return looked.groupBy(key, lane, micros).agg(
@@ -73,7 +74,7 @@ def admission_times(
     )
     shift = F.col("_turn") * (window * MICROS)
     slotted = running(
-        turned, [lane, "_slot"], F.col(micros) - shift, F.max, F.greatest, "_earliest"
+        turned, [lane, "_slot"], Measure("_earliest", F.col(micros) - shift, F.max, F.greatest)
     )
     start = F.col("_earliest") + shift
     return slotted.select(

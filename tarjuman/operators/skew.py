@@ -15,8 +15,10 @@ def hot_keys(
     sizes: DataFrame, key: str, size: str, parts: int = PARTS, min_rows: int = MIN_HOT_ROWS
 ) -> dict[str, int]:
     """Hot keys of ``sizes`` (one row per key), with the number of pieces each needs."""
-    total = sizes.agg(F.sum(size)).first()[0] or 0
-    fair = max(math.ceil(total / parts), min_rows)
+    total, largest = sizes.agg(F.sum(size), F.max(size)).first()
+    fair = max(math.ceil((total or 0) / parts), min_rows)
+    if (largest or 0) <= fair:
+        return {}
     hot = sizes.where(F.col(size) > fair).select(key, F.ceil(F.col(size) / fair)).collect()
     return {row[0]: row[1] for row in hot}
 

@@ -85,7 +85,8 @@ def translate(
     Distinct texts go to the providers in rounds, in ``batches`` (or batches of
     about ``batch_rows`` texts); finished rounds are kept in ``progress_folder``.
     With ``resume`` the texts finished there are not sent again; ``upto`` names the
-    batch to go on from and drops later ones. Only the provider calls run here; the returned table is lazy.
+    batch to go on from and drops later ones. Only the provider calls run here; the
+    returned table is lazy.
     """
     spark = df.sparkSession
     missing = [c for c in [*key, *columns] if c not in df.columns]
@@ -110,8 +111,7 @@ def translate(
     todo = progress.pending(requests, done, ["text_key"])
     if batch_rows:
         batches = max(1, math.ceil(todo.count() / batch_rows))
-    splits = requests.rdd.getNumPartitions()
-    for number, batch in enumerate(_split(todo, batches, splits), start=first):
+    for number, batch in enumerate(_split(todo, requests, batches), start=first):
         folder = progress.batch_path(lasting, number)
         run_rounds(batch, providers, folder, max_retries, backoff, script)
     attempts = _attempts(spark, lasting)
@@ -127,7 +127,7 @@ def _attempts(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(schema).parquet(folder)
 
 
-def _split(todo: DataFrame, batches: int, splits: int) -> list[DataFrame]:
+def _split(todo: DataFrame, requests: DataFrame, batches: int) -> list[DataFrame]:
     """``todo`` in parts of even size, each readable without scanning the others."""
     if batches == 1:
         return [todo]
@@ -135,7 +135,8 @@ def _split(todo: DataFrame, batches: int, splits: int) -> list[DataFrame]:
     folder = new_folder(spark, "batches")
     dealt = todo.withColumn("part", F.pmod(F.xxhash64("text_key"), F.lit(batches)).cast("int"))
     # Pieces keep every core busy, while a task writes to few parts.
-    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), splits)
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = max(shuffle, requests.rdd.getNumPartitions())
     piece = F.pmod(F.hash("text_key"), F.lit(math.ceil(width / batches)))
     dealt.repartition(width, "part", piece).write.partitionBy("part").parquet(folder)
     parts = spark.read.schema(dealt.schema).parquet(folder)
