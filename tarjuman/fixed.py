@@ -53,6 +53,8 @@ WORD = r"\p{L}\p{N}_"
 CODE_FENCE = "```"
 CODE_WORDS = "def|class|function|import|const|var|let"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}"
+# ASCII letters that more than two characters match when case is ignored.
+FOLDED = {"i": "iI\u0131\u0130", "k": "kK\u212a", "s": "sS\u017f"}
 URL_PREFIXES = ("http://", "https://")
 
 # Traces of text decoded with the wrong encoding.

@@ -1,7 +1,7 @@
 """Cleaning, term normalisation and content flags, all as native expressions."""
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -50,19 +50,36 @@ NO_WORD_AFTER = f"(?![{fixed.WORD}])"
 BOUNDARY = f"(?:{NO_WORD_BEFORE}(?=[{fixed.WORD}])|(?<={_BEFORE}){NO_WORD_AFTER})"
 
 
-def _guard(terms: list[tuple[str, str]]) -> str:
-    """A fast pattern that finds something wherever some term matches.
+def _starts(words: Iterable[str]) -> str:
+    """A lookahead for the first characters of ``words``, case ignored.
 
-    Terms that contain another are left out, and first letters go into a class:
-    the pattern may find more than the terms, never less.
+    Testing one character against a small set is what makes the patterns below
+    cheap at the positions where nothing matches.
     """
+    first = {word[0].lower() for word in words}
+    if not all(c.isascii() for c in first):
+        return ""
+    chars = "".join(fixed.FOLDED.get(c, c + c.upper() if c.isalpha() else c) for c in sorted(first))
+    return f"(?=[{re.escape(chars)}])"
+
+
+def _guard(terms: list[tuple[str, str]]) -> str:
+    """A pattern that finds something wherever some term matches, whole word or not."""
     words: list[str] = []
     for word in sorted({term.lower() for term, _ in terms}, key=len):
         if not any(known in word for known in words):
             words.append(word)
-    first = "".join(sorted({re.escape(word[0]) for word in words}))
-    rest = "|".join(re.escape(word[1:]) for word in words)
-    return f"(?iu)[{first}](?:{rest})"
+    return f"{_starts(words)}(?iu:{'|'.join(re.escape(word) for word in words)})"
+
+
+def _whole_word(term: str) -> str:
+    """A pattern for ``term``, in any case, between word boundaries."""
+    def is_word(c: str) -> bool:
+        return c.isalnum() or c == "_"
+
+    before = NO_WORD_BEFORE if is_word(term[0]) else f"(?<={_BEFORE})"
+    after = NO_WORD_AFTER if is_word(term[-1]) else f"(?=[{fixed.WORD}])"
+    return f"{_starts([term])}{before}(?iu:{re.escape(term)}){after}"
 
 
 def normalize_terms(text: Column, custom: Mapping[str, str] | None = None) -> Column:
@@ -75,8 +92,7 @@ def normalize_terms(text: Column, custom: Mapping[str, str] | None = None) -> Co
     replaced = text
     for term, replacement in terms:
         literal = replacement.replace("\\", "\\\\").replace("$", "\\$")
-        pattern = f"(?iu){BOUNDARY}{re.escape(term)}{BOUNDARY}"
-        replaced = F.regexp_replace(replaced, pattern, literal)
+        replaced = F.regexp_replace(replaced, _whole_word(term), literal)
     return F.when(text.rlike(_guard(terms)), replaced).otherwise(text)
 
 
@@ -89,7 +105,8 @@ def preprocess(
 
 
 def contains_code(text: Column) -> Column:
-    words = f"{NO_WORD_BEFORE}(?:{fixed.CODE_WORDS}){NO_WORD_AFTER}"
+    start = "".join(sorted({word[0] for word in fixed.CODE_WORDS.split("|")}))
+    words = f"(?=[{start}]){NO_WORD_BEFORE}(?:{fixed.CODE_WORDS}){NO_WORD_AFTER}"
     return text.contains(fixed.CODE_FENCE) | text.rlike(words)
 
 

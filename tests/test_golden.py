@@ -35,11 +35,14 @@ def test_terms(spark):
 
 
 def test_custom_terms_override_append_and_are_literal(spark):
-    custom = {"ChatGPT": "$1 \\x", "a.b": "dot", "GPT": "G"}
-    inputs = ["chatgpt and a.b, axb", "GPT-4 GPT", "ChatGPT API"]
+    custom = {"ChatGPT": "$1 \\x", "a.b": "dot", "GPT": "G", "C++": "cpp", "-[s]": "t", "éa": "e"}
+    inputs = [
+        "chatgpt and a.b, axb", "GPT-4 GPT", "ChatGPT API", "c++x c++ xc++y", "x-[ſ]y -[S]", "ÉA éab",
+    ]
     found = values(spark, inputs, lambda c: text.normalize_terms(c, custom))
     assert found == [
         "$1 \\x and dot, axb", "the advanced language model G", "the AI API",
+        "cppx c++ xc++y", "xty -[S]", "e éab",
     ]
 
 
