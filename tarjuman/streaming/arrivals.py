@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 from tarjuman.operators.progress import batch_path
 from tarjuman.plans.translate import translate_table
 from tarjuman.sources.scans import path_exists
+from tarjuman.workspace import materialize
 
 
 def arriving_files(
@@ -37,19 +38,21 @@ def translate_stream(
     """
     fresh = stream if unique else stream.dropDuplicates(list(key))
     return (
-        fresh.writeStream.foreachBatch(_writer(columns, providers, key, output, options))
+        fresh.writeStream.foreachBatch(_writer(columns, providers, key, output, unique, options))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def _writer(columns, providers, key, output: str, options: dict) -> Callable:
+def _writer(columns, providers, key, output: str, unique: bool, options: dict) -> Callable:
     def write(batch: DataFrame, batch_id: int) -> None:
         target = batch_path(output, batch_id)
         if path_exists(batch.sparkSession, f"{target}/_SUCCESS"):
             return
-        translated = translate_table(batch, columns, providers, key, **options)
+        # Each use of the batch would run the stream's stateful part again.
+        arrived = batch if unique else materialize(batch, "arrived")
+        translated = translate_table(arrived, columns, providers, key, **options)
         translated.write.mode("overwrite").parquet(target)
 
     return write

@@ -123,7 +123,7 @@ def test_replayed_micro_batch_changes_nothing(spark, tmp_path):
     from tarjuman.streaming.arrivals import _writer
     output = str(tmp_path / "out")
     df = spark.createDataFrame([(1, "some words here")], "id long, t string")
-    write = _writer(["t"], [transliterator("p")], ["id"], output, {})
+    write = _writer(["t"], [transliterator("p")], ["id"], output, False, {})
     write(df, 0)
     first = sorted(f.name for f in (tmp_path / "out/batch_id=0").iterdir())
     write(df, 0)
