@@ -11,7 +11,9 @@ LIMIT = 5
 
 
 def _calls(spark, sf):
-    micros = F.unix_micros(F.col("ts").cast("timestamp")).alias("micros")
+    # Event times carry no zone; read them as UTC whatever the session's zone is.
+    utc = F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())
+    micros = F.unix_micros(utc).alias("micros")
     return table(spark, sf, "events").select("event_id", F.col("event_type").alias("lane"), micros)
 
 

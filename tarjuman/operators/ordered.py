@@ -21,13 +21,12 @@ def sorted_runs(df: DataFrame, order: list[str]) -> DataFrame:
     """``df`` with ``run`` and ``pos``: globally ordered by (run, pos).
 
     ``order`` must end in a unique key, which is what lets ties be split. The
-    table is written, as the cut points must not move between its uses.
+    table is written, as the cut points must not move between its uses. Their
+    number is left open, so that adaptive execution can fit it to the data.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    place = F.monotonically_increasing_id()
     placed = (
-        df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-        .withColumn("_place", place)
+        df.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("_place", F.monotonically_increasing_id())
         .withColumn("run", F.shiftright("_place", 33).cast("int"))
         .withColumn("pos", F.col("_place").bitwiseAND(F.lit(_LOW_BITS)))
         .drop("_place")

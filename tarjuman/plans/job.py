@@ -4,6 +4,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tarjuman import fixed
 from tarjuman.operators.shape import (
@@ -16,7 +17,7 @@ from tarjuman.sources.sinks import write_statistics, write_table
 
 DEFAULTS = {
     "dataset": {
-        "source": None, "format": None, "split": "train", "subset": None, "file_name": None,
+        "source": None, "format": None, "schema": None, "split": "train", "subset": None, "file_name": None,
         "roots": {}, "key": None, "columns_to_translate": "auto", "limit": None,
     },
     "translation": {
@@ -80,7 +81,7 @@ def run_job(spark: SparkSession, options: Mapping, providers: Mapping[str, objec
         raise ValueError("No dataset specified")
     table = load_table(
         spark, data["source"], data["format"], data["split"], data["subset"],
-        data["file_name"], data["roots"],
+        data["file_name"], data["roots"], _schema(data["schema"]),
     )
 
     columns = data["columns_to_translate"]
@@ -128,6 +129,10 @@ def run_job(spark: SparkSession, options: Mapping, providers: Mapping[str, objec
     return JobResult(result, stats, failures, done.attempts, columns)
 
 
+def _schema(schema: str | StructType | None) -> StructType | None:
+    return StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
 def _keyed(table: DataFrame, key: str | Sequence[str] | None) -> tuple[DataFrame, list[str], bool]:
     """The table with its key: the caller's, else file and row of a Parquet scan."""
     if key:

@@ -13,11 +13,14 @@ from tarjuman.functions.text import preprocess
 from tarjuman.operators import progress
 from tarjuman.operators.rounds import ATTEMPTS, outcomes, run_rounds
 from tarjuman.operators.shape import (
-    attach_translations, cell_text, pivot_cells, unpivot_cells,
+    attach_translations, cell_text, pivot_cells, translated_names, unpivot_cells,
 )
 from tarjuman.operators.skew import hot_keys, salted_join
 from tarjuman.workspace import new_folder
 
+CELL_COLUMNS = {"column", "text", "text_key", "translation", "api"}
+
+
 @dataclass(frozen=True)
 class Translation:
     """What a run produced.
@@ -89,9 +92,15 @@ def translate(
     returned table is lazy.
     """
     spark = df.sparkSession
+    columns, key = list(dict.fromkeys(columns)), list(dict.fromkeys(key))
     missing = [c for c in [*key, *columns] if c not in df.columns]
     if missing or not columns or not key:
         raise ValueError(f"Columns and key must be in the table; missing: {missing}")
+    if set(key) & CELL_COLUMNS:
+        raise ValueError(f"Key columns may not be called any of {sorted(CELL_COLUMNS)}")
+    # Columns of an earlier run are made anew.
+    made = set(translated_names(columns, suffix)) - {*key, *columns}
+    df = df.drop(*made)
 
     folder = new_folder(spark, "requests")
     found = distinct_requests(df, columns, null_policy, terms, custom_terms)
@@ -154,17 +163,18 @@ def join_outcomes(
     """
     hot = hot_keys(requests, "text_key", "n_cells")
     good = finished.where(F.col("translation").isNotNull()).select("text_key", "translation", "api")
-    key = list(key)
     if len(columns) == 1:
         only = columns[0]
+        names = [f"{only}_{suffix}", f"{only}_api"]
+        replies = good.toDF("_text_key", *names)
         digest = text_key(cell_text(F.col(f"`{only}`"), null_policy))
         # A null cell matches nothing; a key of its own keeps nulls off one task.
         alone = F.concat(F.lit("null:"), F.xxhash64(*key).cast("string"))
         base = df if preserve else df.select(*dict.fromkeys([*key, only]))
-        keyed = base.withColumn("text_key", F.coalesce(digest, alone))
-        joined = salted_join(keyed, good, "text_key", key, hot).drop("text_key")
-        named = joined.withColumnsRenamed({"translation": f"{only}_{suffix}", "api": f"{only}_api"})
-        return named if preserve else named.select(*key, f"{only}_{suffix}", f"{only}_api")
+        keyed = base.withColumn("_text_key", F.coalesce(digest, alone))
+        joined = salted_join(keyed, replies, "_text_key", key, hot).drop("_text_key")
+        kept = base.columns if preserve else key
+        return joined.select(*[F.col(f"`{c}`") for c in [*kept, *names]])
     cells = unpivot_cells(df, key, list(columns), null_policy).where(F.col("text").isNotNull())
     keyed = cells.select(*key, "column", text_key(F.col("text")).alias("text_key"))
     translated = salted_join(keyed, good, "text_key", [*key, "column"], hot, "inner")

@@ -105,23 +105,31 @@ def scan_csv(
     sep: str = ",",
     latin1_fallback: bool = True,
     na_tokens: tuple[str, ...] = fixed.NA_TOKENS,
+    encoding: str | None = None,
+    spans_lines: bool | None = None,
 ) -> DataFrame:
     """CSV files with a header, RFC-4180 quoting and embedded newlines.
 
     A file that is not valid UTF-8 is read as latin-1. Only files with quoted
     newlines are read whole by one task each; all others stay splittable. The
     file list held here is the one Spark's file index keeps on the driver too.
-    ``schema`` gives the column types and saves the pass that infers them.
+    ``schema`` gives the column types and saves the pass that infers them;
+    ``encoding`` and ``spans_lines`` together save the one that profiles the files.
     """
-    groups: dict[tuple[bool, bool], list[str]] = {}
-    for row in csv_profile(spark, path).toLocalIterator():
-        utf8 = row["is_utf8"] or not latin1_fallback
-        groups.setdefault((utf8, row["spans_lines"]), []).append(unquote(row["path"]))
+    groups: dict[tuple[str, bool], list[str]] = {}
+    if encoding is not None and spans_lines is not None:
+        groups[encoding, spans_lines] = _as_list(path)
+    else:
+        for row in csv_profile(spark, path).toLocalIterator():
+            utf8 = row["is_utf8"] or not latin1_fallback
+            found = encoding or ("UTF-8" if utf8 else "ISO-8859-1")
+            spans = row["spans_lines"] if spans_lines is None else spans_lines
+            groups.setdefault((found, spans), []).append(unquote(row["path"]))
     if not groups:
         return _csv_strings(spark, _as_list(path), sep, "UTF-8", False)
     parts = [
-        _csv_strings(spark, sorted(files), sep, "UTF-8" if utf8 else "ISO-8859-1", spans)
-        for (utf8, spans), files in sorted(groups.items(), reverse=True)
+        _csv_strings(spark, sorted(files), sep, charset, spans)
+        for (charset, spans), files in sorted(groups.items(), reverse=True)
     ]
     strings = _union(parts)
     tokens = list(na_tokens)

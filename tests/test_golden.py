@@ -129,5 +129,7 @@ def test_limit_by_position_equals_ordered_limit(spark, monkeypatch):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"), F.lit("v").alias("v"))
     expected = sorted(r["k"] for r in shape.limit_rows(df, "k", 37).collect())
     monkeypatch.setattr(shape, "LIMIT_IN_ONE_TASK", 10)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     assert sorted(r["k"] for r in shape.limit_rows(df, "k", 37).collect()) == expected
     assert shape.limit_rows(df, "k", 5000).count() == 1000
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

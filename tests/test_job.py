@@ -48,7 +48,7 @@ def test_job_options(spark, source, tmp_path):
     down = ColumnProvider("fanar", lambda p, a: p, lambda p, a: F.lit("down"))
     job = options(
         source, tmp_path,
-        dataset={"limit": 2, "columns_to_translate": ["prompt", "category"]},
+        dataset={"limit": 2, "schema": "id long, prompt string, category string", "columns_to_translate": ["prompt", "category"]},
         translation={"primary_api": "fanar", "enable_fallback": True, "suffix": "xx",
                      "normalize_provider_terms": False},
         retry={"max_retries": 2},

@@ -6,6 +6,7 @@ from collections import deque
 import pytest
 
 from tarjuman.operators import rate
+from tarjuman.operators.ordered import sorted_runs
 from tarjuman.operators.providers import Pace
 
 SECOND = 1_000_000
@@ -28,6 +29,22 @@ def calls(spark, log):
     return spark.createDataFrame(log, "id long, lane string, at long")
 
 
+@pytest.fixture(scope="module", autouse=True)
+def many_runs(spark):
+    """Keep adaptive execution from joining the few rows here into one run."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_runs_cut_a_hot_lane_and_its_ties(calls):
+    runs = sorted_runs(calls, ["lane", "at", "id"])
+    hot = runs.where("lane = 'hot'").groupBy("run").count().collect()
+    assert len(hot) > 1 and runs.select("run").distinct().count() == 4
+    ties = runs.where("lane = 'hot' and at = 500000000")
+    assert ties.select("run").distinct().count() > 1
+
+
 def by_lane(log):
     lanes = {}
     for call in sorted(log, key=lambda c: (c[2], c[0])):

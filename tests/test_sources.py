@@ -34,6 +34,13 @@ def test_csv_with_schema_skips_inference(spark, tmp_path):
     assert rows(scans.scan_csv(spark, str(tmp_path), schema), "id", "v") == [(1, "07"), (2, "x")]
 
 
+def test_csv_options_save_the_profile(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_bytes("id,t\n1,café\n".encode("latin-1"))
+    monkeypatch.delattr(scans, "csv_profile")
+    df = scans.scan_csv(spark, str(tmp_path), encoding="ISO-8859-1", spans_lines=False)
+    assert rows(df, "id", "t") == [(1, "café")]
+
+
 def test_numbers_that_only_java_knows_stay_text(spark, tmp_path):
     (tmp_path / "a.csv").write_text("v,w\n1d,99999999999999999999\n2f,1\n")
     kinds = dict(scans.scan_csv(spark, str(tmp_path)).dtypes)

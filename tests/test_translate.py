@@ -301,6 +301,16 @@ def test_restore_leaves_originals(spark):
     assert got == {1: ("a", "X"), 2: ("b", None)}
 
 
+def test_columns_of_an_earlier_run_and_like_named_ones(spark):
+    df = spark.createDataFrame(
+        [(1, "hello", "keep", "old", "mine")], "id long, t string, api string, t_ar string, translation string"
+    )
+    for columns in (["t"], ["t", "api"]):
+        row = translate_table(df, columns, [transliterator("p")], ["id"]).first()
+        assert (row["api"], row["translation"], row["t_api"]) == ("keep", "mine", "p")
+        assert row["t_ar"] not in ("old", None)
+
+
 def test_bad_columns_are_refused(cells):
     _, df = cells
     for columns, key in ((["nope"], ["id"]), (["body"], ["nope"]), ([], ["id"]), (["body"], [])):
