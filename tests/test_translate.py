@@ -97,8 +97,11 @@ def as_dict(df, columns=("body", "title")):
     return got
 
 
-@pytest.mark.parametrize("order", [("first",), ("first", "second"), ("second", "first")])
-@pytest.mark.parametrize("columns", [("body",), ("body", "title")])
+@pytest.mark.parametrize("order, columns", [
+    (("first",), ("body",)),
+    (("first", "second"), ("body", "title")),
+    (("second", "first"), ("body",)),
+])
 def test_run_equals_simulation(cells, order, columns):
     rows, df = cells
     run = translate(df, list(columns), [scripted(n) for n in order], ["id"])
@@ -172,8 +175,7 @@ class Counting:
         return self.inner.answer(prompts, attempt)
 
 
-@pytest.mark.parametrize("batches", [1, 3])
-@pytest.mark.parametrize("fail_after", [0, 1, 2])
+@pytest.mark.parametrize("batches, fail_after", [(1, 0), (1, 2), (3, 1)])
 def test_killed_run_resumes_to_the_same_table(spark, cells, tmp_path, batches, fail_after):
     rows, df = cells
     folder = str(tmp_path / "progress")
