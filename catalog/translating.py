@@ -33,11 +33,8 @@ _PROMPTS = f"(select doc_id, {inputs.sql_preprocess('text')} as prompt from {DIR
     for api, body in _CHATS.items()
 ))
 def build_requests(spark, sf):
-    docs = dirty(spark, sf).select("doc_id", preprocess(F.col("text")).alias("prompt"))
-    tables = [
-        requests.build_requests(docs, F.col("doc_id"), F.col("prompt"), api) for api in _CHATS
-    ]
-    return tables[0].unionByName(tables[1])
+    prompt = preprocess(F.col("text"))
+    return requests.build_requests(dirty(spark, sf), F.col("doc_id"), prompt, list(_CHATS))
 
 
 # A response per document, by its id: content, padded content, blank, null

@@ -1,5 +1,7 @@
 """Chat requests and responses as tables, for batch inference outside Spark."""
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,14 +33,19 @@ def request_body(prompt: Column, api: str, **overrides) -> Column:
 
 
 def build_requests(
-    df: DataFrame, request_id: Column, prompt: Column, api: str, **overrides
+    df: DataFrame, request_id: Column, prompt: Column, apis: Sequence[str],
+    overrides: Mapping[str, Mapping] | None = None,
 ) -> DataFrame:
-    """``(request_id, api, body)`` per row."""
-    return df.select(
-        request_id.cast("string").alias("request_id"),
-        F.lit(api).alias("api"),
-        request_body(prompt, api, **overrides).alias("body"),
-    )
+    """``(request_id, api, body)`` per row and provider, from one pass over the rows."""
+    bodies = [
+        F.struct(
+            F.lit(api).alias("api"),
+            request_body(F.col("_prompt"), api, **(overrides or {}).get(api, {})).alias("body"),
+        )
+        for api in apis
+    ]
+    prompts = df.select(request_id.cast("string").alias("request_id"), prompt.alias("_prompt"))
+    return prompts.select("request_id", F.inline(F.array(*bodies)))
 
 
 def reply_of_body(body: Column, api: str, transport_error: Column | None = None) -> Column:

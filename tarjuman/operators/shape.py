@@ -112,7 +112,8 @@ def with_row_id(df: DataFrame, dense: str | None = None) -> DataFrame:
     )
     if dense is None:
         return keyed
-    # A row's number is its place in the file after all rows of earlier files.
+    # A row's number is its place in the file after all rows of earlier files; the
+    # window below sees one row per file.
     sizes = keyed.groupBy("source_file").agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.orderBy("source_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

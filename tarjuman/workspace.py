@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, reachable from every executor.
@@ -14,15 +16,17 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local master may go without the setting: it gets a temporary folder,
     removed when the process ends.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="tarjuman-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = context.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="tarjuman-")
+        atexit.register(shutil.rmtree, _LOCAL_FOLDERS[application], ignore_errors=True)
+    return _LOCAL_FOLDERS[application]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
