@@ -64,9 +64,11 @@ class MemoryProvider:
         known = self.memory.groupBy(F.sha2("text", 256).alias("_digest")).agg(
             F.min("translation").alias("_known")
         )
-        asked = prompts.withColumn("_digest", F.sha2("prompt", 256))
+        others = [c for c in prompts.columns if c != "prompt"] or ["prompt"]
+        # A null prompt matches nothing; a key of its own keeps nulls off one task.
+        alone = F.concat(F.lit("null:"), F.xxhash64(*others).cast("string"))
+        asked = prompts.withColumn("_digest", F.coalesce(F.sha2("prompt", 256), alone))
         sizes = asked.groupBy("_digest").agg(F.count(F.lit(1)).alias("_size"))
-        others = [c for c in prompts.columns if c != "prompt"]
         hot = hot_keys(sizes, "_digest", "_size")
         found = salted_join(asked, known, "_digest", others, hot)
         hit = F.col("_known").isNotNull()

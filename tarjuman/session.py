@@ -4,7 +4,8 @@ from pyspark.sql import SparkSession
 
 # Settings that matter at scale. Long texts make rows wide and uneven, so Arrow
 # batches are bounded by bytes as well as rows, and adaptive execution may split
-# a partition that turned out too large.
+# a partition that turned out too large. Streams keep the keys they have seen on
+# disk rather than in executor memory.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -12,6 +13,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": "64MB",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -272,6 +272,14 @@ def test_memory_as_primary_with_fallback(spark, cells):
             assert used[i][1] in ("machine", None)
 
 
+def test_memory_answers_every_row(spark):
+    memory = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "z")], "text string, translation string")
+    prompts = spark.createDataFrame([(1, "a"), (2, None), (3, "a"), (4, "c")], "i int, prompt string")
+    got = sorted(map(tuple, MemoryProvider("m", memory).answer(prompts).drop("prompt").collect()))
+    miss = (False, None, "not in memory")
+    assert got == [(1, True, "x", None), (2, *miss), (3, True, "x", None), (4, *miss)]
+
+
 def test_salted_join_equals_plain_join(spark):
     usual = (F.col("id") % 50).cast("string")
     left = spark.range(5000).select(
