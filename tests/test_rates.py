@@ -37,12 +37,13 @@ def many_runs(spark):
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-def test_runs_cut_a_hot_lane_and_its_ties(calls):
+def test_runs_cut_a_lane_whose_calls_share_one_instant(spark):
+    calls = spark.range(4000).selectExpr("id", "'hot' as lane", "7L as at")
     runs = sorted_runs(calls, ["lane", "at", "id"])
-    hot = runs.where("lane = 'hot'").groupBy("run").count().collect()
-    assert len(hot) > 1 and runs.select("run").distinct().count() > 2
-    ties = runs.where("lane = 'hot' and at = 500000000")
-    assert ties.select("run").distinct().count() > 1
+    sizes = [r["count"] for r in runs.groupBy("run").count().collect()]
+    assert len(sizes) > 2 and max(sizes) < 2000
+    rows = rate.trailing_calls(calls, "id", "lane", "at", 60).select("calls", "oldest").distinct()
+    assert [tuple(r) for r in rows.collect()] == [(4000, 7)]
 
 
 def by_lane(log):
