@@ -15,8 +15,9 @@ def duck():
 
 
 def test_register():
-    assert set(SQL) <= set(QUERIES) == set(contract.queries())
-    assert contract.oracle_sql() == SQL
+    assert set(SQL) <= set(QUERIES) <= set(contract.queries())
+    assert set(contract.queries()) - set(QUERIES) == set(contract.LLM_QUERIES)
+    assert contract.oracle_sql() == {**SQL, **contract.LLM_SQL}
 
 
 def test_entry(spark):
