@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarjuman.llm import mixing, urls
+from tarjuman.llm import language, mixing, quality, urls
 from tarjuman.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,23 @@ def op3_mixing(spark, sf_dir):
 def op10_url_filter(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return urls.judge(pages.select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def held_out(divisor: int, remainder: int):
+    """Rows a model must not learn from, by the crc32 of the id as text (null: no id, never held out)."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % divisor == remainder, F.lit(False))
+
+
+@query("op1_language_id")
+def op1_language_id(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = language.learn(docs.where(~held_out(4, 2)))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op6_quality")
+def op6_quality(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    judged = quality.judge(docs.select("doc_id", "text"), quality.learn(docs))
+    return judged.select("doc_id", *quality.OUTPUT)
