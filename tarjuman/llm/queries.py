@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarjuman.llm import language, mixing, quality, urls
+from tarjuman.llm import language, mixing, quality, toxicity, urls
 from tarjuman.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,14 @@ def op6_quality(spark, sf_dir):
     docs = documents(spark, sf_dir)
     judged = quality.judge(docs.select("doc_id", "text"), quality.learn(docs))
     return judged.select("doc_id", *quality.OUTPUT)
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
+    scorer = toxicity.learn(docs.where(~held_out(3, 1)).join(labels, "doc_id"))
+    scored = toxicity.score(docs, scorer)
+    return scored.select(
+        "doc_id", held_out(3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
