@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarjuman.llm import language, mixing, quality, toxicity, urls
+from tarjuman.llm import decontaminate, language, lines, mixing, quality, toxicity, urls
 from tarjuman.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,58 @@ def op9_toxicity(spark, sf_dir):
     return scored.select(
         "doc_id", held_out(3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
     )
+
+
+@query("op2_line_dedup", r"""
+    with lines as (select doc_id, string_split(text, chr(10)) l from documents where text is not null),
+    keyed as (
+        select doc_id, unnest(range(0, len(l) - 2)) i,
+               unnest([l[i + 1] || chr(10) || l[i + 2] || chr(10) || l[i + 3] for i in range(0, len(l) - 2)]) w
+        from lines where len(l) >= 3),
+    later as (
+        select doc_id, i from keyed where regexp_matches(w, '[^\x20\x09-\x0D]')
+        qualify row_number() over (partition by w order by doc_id, i) > 1),
+    gone as (
+        select doc_id, list(distinct i + k) g from later, range(3) t(k) group by doc_id)
+    select d.doc_id, case when g is null then text else array_to_string(
+               list_filter(l, lambda x, i: not list_contains(g, i - 1)), chr(10)) end as text,
+           coalesce(len(g), 0)::bigint n_removed
+    from documents d left join gone using (doc_id) left join lines using (doc_id)""")
+def op2_line_dedup(spark, sf_dir):
+    return lines.drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@query("op8_decontaminate", r"""
+    with words as (
+        select doc_id, coalesce(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) w from documents),
+    items as (
+        select item_id, regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w, least(13, len(w)) m from benchmark),
+    item_windows as (
+        select distinct item_id, m, t from (
+            select item_id, m, unnest([array_to_string(w[i:i + m - 1], ' ') for i in range(1, len(w) - m + 2)]) t
+            from items where m > 0)),
+    doc_windows as (
+        select doc_id, m, unnest(range(1, len(w) - m + 2)) i,
+               unnest([array_to_string(w[i:i + m - 1], ' ') for i in range(1, len(w) - m + 2)]) t
+        from words, (select distinct m from items where m > 0)),
+    hits as (select doc_id, i, m, item_id from doc_windows join item_windows using (m, t)),
+    places as (
+        select doc_id, count(distinct p) n_hit
+        from (select doc_id, unnest(range(i, i + m)) p from hits) group by doc_id),
+    named as (
+        select doc_id, count(*) n_items, sha256(string_agg(item, ',' order by item)) h
+        from (select distinct doc_id, item_id::varchar item from hits) group by doc_id)
+    select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesce(n_items, 0)::bigint n_items,
+           coalesce(h, sha256('')) items_sha256, coalesce(n_hit, 0) > 0 and 20 * n_hit >= len(w) contaminated
+    from words left join places using (doc_id) left join named using (doc_id)""")
+def op8_decontaminate(spark, sf_dir):
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.find_contamination(documents(spark, sf_dir).select("doc_id", "text"), benchmark)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated",
+    )
