@@ -33,11 +33,16 @@ def words_of(text: Column) -> Column:
     return F.coalesce(words, F.array().cast("array<string>"))
 
 
+def gram(words: Column, first: Column, length: int) -> list[Column]:
+    """The words of a gram by their places; ``slice`` would walk the array from its start."""
+    return [F.get(words, first + k) for k in range(length)]
+
+
 def gram_hashes(words: Column, length: int) -> Column:
     """Hashes of all grams of ``length`` words, in order; null if there are too few words."""
     grams = F.transform(
-        F.sequence(F.lit(1), F.size(words) - (length - 1)),
-        lambda i: F.xxhash64(F.lit(length), F.slice(words, i, length)),
+        F.sequence(F.lit(0), F.size(words) - length),
+        lambda i: F.xxhash64(F.lit(length), *gram(words, i, length)),
     )
     return F.when(F.size(words) >= length, grams)
 
@@ -45,9 +50,7 @@ def gram_hashes(words: Column, length: int) -> Column:
 def winnow(grams: Column) -> Column:
     """The smallest hash of each ``WINDOW - GRAM + 1`` neighbours, each once."""
     span = WINDOW - GRAM + 1
-    least = F.transform(
-        F.sequence(F.lit(1), F.size(grams) - (span - 1)), lambda i: F.array_min(F.slice(grams, i, span))
-    )
+    least = F.transform(F.sequence(F.lit(0), F.size(grams) - span), lambda i: F.least(*gram(grams, i, span)))
     return F.when(F.size(grams) >= span, F.array_distinct(least))
 
 
@@ -55,11 +58,11 @@ def window_hashes(words: Column, lengths: list[int]) -> Column:
     """All windows of the given lengths as structs: first word, length, 128-bit hash."""
     def of(length: int) -> Column:
         found = F.transform(
-            F.sequence(F.lit(1), F.size(words) - (length - 1)),
+            F.sequence(F.lit(0), F.size(words) - length),
             lambda i: F.struct(
                 i.alias("at"), F.lit(length).alias("length"),
-                F.xxhash64(F.lit(length), F.slice(words, i, length)).alias("h1"),
-                F.xxhash64(F.lit("w"), F.slice(words, i, length)).alias("h2"),
+                F.xxhash64(F.lit(length), *gram(words, i, length)).alias("h1"),
+                F.xxhash64(F.lit("w"), *gram(words, i, length)).alias("h2"),
             ),
         )
         return F.when(F.size(words) >= length, found)
@@ -89,9 +92,11 @@ def find_contamination(
     words = F.col("words")
 
     def fingerprints(df: DataFrame, *keep: str) -> DataFrame:
-        kinds = [F.coalesce(winnow(gram_hashes(words, GRAM)) if n == WINDOW else F.array_distinct(gram_hashes(words, n)),
-                            F.array().cast("array<bigint>")) for n in lengths]
-        return df.select(*keep, F.explode(F.concat(*kinds)).alias("fingerprint"))
+        none = F.array().cast("array<bigint>")
+        # Columns of their own, so that a window over the grams does not compute them anew.
+        df = df.withColumn("grams", F.coalesce(gram_hashes(words, GRAM), none))
+        kinds = [winnow(F.col("grams")) if n == WINDOW else F.array_distinct(gram_hashes(words, n)) for n in lengths]
+        return df.select(*keep, F.explode(F.concat(*[F.coalesce(k, none) for k in kinds])).alias("fingerprint"))
 
     source = docs.select(*[F.col(f"`{c}`") for c in names], F.col(doc_id).alias("_doc_id"))
     keyed = source.select("*", *text_key("_doc_id", text)).drop("_doc_id")
