@@ -37,13 +37,14 @@ def windows_of(docs: DataFrame, text: str, order: Column) -> DataFrame:
     lines = F.split(F.col(text), "\n", -1)
     kept = docs.select(*text_key("_doc_id", text), order.alias("_order"), lines.alias("_lines"))
     kept = kept.where(F.size("_lines") >= LINES)
-    window = lambda i: F.slice("_lines", i + 1, LINES)
+    # By place: ``slice`` would walk the array from its start for every window.
+    window = lambda i: [F.get("_lines", i + k) for k in range(LINES)]
     found = F.transform(
         F.sequence(F.lit(0), F.size("_lines") - LINES),
         lambda i: F.when(
-            F.exists(window(i), lambda line: line.rlike(r"[^\x20\x09-\x0D]")),
+            F.concat(*window(i)).rlike(r"[^\x20\x09-\x0D]"),
             F.struct(
-                i.alias("at"), F.xxhash64(window(i)).alias("h1"), F.xxhash64(F.lit("w"), window(i)).alias("h2"),
+                i.alias("at"), F.xxhash64(*window(i)).alias("h1"), F.xxhash64(F.lit("w"), *window(i)).alias("h2"),
             ),
         ),
     )

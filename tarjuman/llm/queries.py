@@ -2,11 +2,13 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarjuman.llm import decontaminate, language, lines, mixing, quality, toxicity, urls
+from tarjuman.llm import decontaminate, language, lines, mixing, quality, tokens, toxicity, urls
 from tarjuman.llm.common import documents
+from tarjuman.workspace import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -146,3 +148,10 @@ def op8_decontaminate(spark, sf_dir):
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated",
     )
+
+
+@query("op4_token_output")
+def op4_token_output(spark, sf_dir):
+    folder = new_folder(spark, "token-files")
+    tokens.write_tokens(documents(spark, sf_dir), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokens.read_tokens(spark, folder)
