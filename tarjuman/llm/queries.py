@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarjuman.llm import decontaminate, language, lines, mixing, quality, tokens, toxicity, urls
+from tarjuman.llm import decontaminate, jaccard, language, lines, mixing, quality, tokens, toxicity, urls
 from tarjuman.llm.common import documents
 from tarjuman.workspace import new_folder
 
@@ -155,3 +155,8 @@ def op4_token_output(spark, sf_dir):
     folder = new_folder(spark, "token-files")
     tokens.write_tokens(documents(spark, sf_dir), folder, public_tokenizers.path("byte_bpe_50k.json"))
     return tokens.read_tokens(spark, folder)
+
+
+@query("op5_jaccard_join")
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard.near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
