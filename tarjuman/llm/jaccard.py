@@ -279,7 +279,11 @@ def cross_pairs(docs: DataFrame, groups: DataFrame, levels) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, class, component_id)``, one row per row of ``docs``."""
+    """``(doc_id, n_shingles, class, label, component_id)``, one row per row of ``docs``.
+
+    ``label`` tells components apart (null for empty sets), ``component_id`` is the
+    smallest doc_id in one.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -293,7 +297,25 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     labelled = least.join(labels, F.col("class") == F.col("node"), "left")
     labelled = labelled.select("class", "least", F.coalesce("label", "class").alias("label"))
     reached = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = materialize(labelled.join(reached, "label").select("class", "component_id"), "components")
+    named = materialize(labelled.join(reached, "label").select("class", "label", "component_id"), "components")
     found = sets.join(named, "class", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "class", component.alias("component_id"))
+    return found.select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), "class", "label", component.alias("component_id"))
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, that of the smallest id; rows with an empty set all stay."""
+    found = near_duplicates(docs, doc_id, text).where("label is not null")
+    first = found.groupBy("label").agg(F.min(F.struct("doc_id", "class")).alias("first")).select("first.*")
+    # Null-safe ids as text; both sides are dealt by them, so repeated rows meet in one task.
+    as_key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias("_id")
+    first = materialize(first.select(as_key("doc_id"), F.col("class").alias("_class")), "kept")
+
+    @F.pandas_udf("long")
+    def classes(texts: pd.Series) -> pd.Series:
+        return pd.Series([class_of(shingles(t if isinstance(t, str) else None)) for t in texts], dtype="int64")
+
+    marked = docs.select(*[F.col(f"`{c}`") for c in docs.columns], as_key(doc_id), classes(F.col(text)).alias("_class"))
+    kept = marked.join(first.hint("merge"), ["_id", "_class"], "left_semi").dropDuplicates(["_id", "_class"])
+    return kept.unionByName(marked.where("_class = 0")).drop("_id", "_class")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarjuman.llm import decontaminate, jaccard, language, lines, mixing, quality, tokens, toxicity, urls
+from tarjuman.llm import decontaminate, jaccard, language, lines, mixing, pseudonyms, quality, tokens, toxicity, urls
 from tarjuman.llm.common import documents
 from tarjuman.workspace import new_folder
 
@@ -160,3 +160,12 @@ def op4_token_output(spark, sf_dir):
 @query("op5_jaccard_join")
 def op5_jaccard_join(spark, sf_dir):
     return jaccard.near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
+#: A key for the registered query; a user passes a secret one.
+SAMPLE_KEY = "sample key, not a secret"
+
+
+@query("op7_pii")
+def op7_pii(spark, sf_dir):
+    return pseudonyms.pseudonymize(documents(spark, sf_dir).select("doc_id", "text"), SAMPLE_KEY)
