@@ -56,8 +56,9 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def gram_hashes(points: np.ndarray, order: int) -> np.ndarray:
-    """Hash of the n-gram that starts at each place; 0 where it holds two blanks or only one letterless place."""
+def gram_hashes(points: np.ndarray, order: int, starts: np.ndarray | None = None) -> np.ndarray:
+    """Hash of the n-gram that starts at each place; 0 where it holds two blanks, or where
+    ``starts`` says that another piece counts it."""
     n = len(points) - order + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
@@ -70,30 +71,35 @@ def gram_hashes(points: np.ndarray, order: int) -> np.ndarray:
         blanks += blank[i:i + n]
     hashed = mix64(code * np.uint64(8) + np.uint64(order))
     hashed[blanks > 1] = 0
+    if starts is not None:
+        hashed[~starts[:n]] = 0
     return hashed
 
 
-def batch_blocks(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Letters of many texts, and where each text starts: texts end in two blanks, which
-    no n-gram spans. A long text comes in blocks that overlap by the longest order."""
+def batch_blocks(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Letters of many texts; per piece its row and length; and where n-grams may start.
+
+    A text begins with one blank and ends in two, which no n-gram spans. A long text comes
+    in pieces that overlap by the longest order; each n-gram starts in one piece only.
+    """
     overlap = max(ORDERS) - 1
-    points, owner, held = [], [], 0
+    points, owner, starts, held = [], [], [], 0
     for row, text in enumerate(texts):
         if not text:
             continue
         mapped = letters()[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
-        for start in range(0, len(mapped), BLOCK):
-            piece = mapped[max(0, start - overlap):start + BLOCK]
-            # Grams that end before ``start`` were counted in the block before.
-            points += [np.array([32], np.uint32)] if start == 0 else []
-            owner += [(row, len(piece) + (start == 0) + 2)]
-            points += [piece, np.array([32, 32], np.uint32)]
-            held += len(piece) + 3
+        mapped = np.concatenate([[32], mapped, [32, 32]]).astype(np.uint32)
+        for at in range(0, len(mapped), BLOCK):
+            piece = mapped[at:at + BLOCK + overlap]
+            points.append(piece)
+            owner.append((row, len(piece)))
+            starts.append(np.arange(len(piece)) < BLOCK)
+            held += len(piece)
             if held >= BLOCK:
-                yield np.concatenate(points), np.array(owner)
-                points, owner, held = [], [], 0
+                yield np.concatenate(points), np.array(owner), np.concatenate(starts)
+                points, owner, starts, held = [], [], [], 0
     if points:
-        yield np.concatenate(points), np.array(owner)
+        yield np.concatenate(points), np.array(owner), np.concatenate(starts)
 
 
 class LanguageFilter:
@@ -125,10 +131,10 @@ class LanguageFilter:
         """Number of n-grams of each text, and hits per language."""
         total = np.zeros(len(texts), np.int64)
         hits = np.zeros((len(texts), len(self.languages)), np.int64)
-        for points, owner in batch_blocks(texts):
+        for points, owner, starts in batch_blocks(texts):
             rows, ends = owner[:, 0], np.cumsum(owner[:, 1])
             for order in ORDERS:
-                hashes = gram_hashes(points, order)
+                hashes = gram_hashes(points, order, starts)
                 valid = hashes != 0
                 edges = np.minimum(np.concatenate([[0], ends]), len(hashes))
                 places = self.places(hashes)
@@ -192,8 +198,8 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Langua
             for name, group in batch.groupby("lang"):
                 parts = [
                     hashes[hashes != 0]
-                    for points, _ in batch_blocks(group["text"].tolist())
-                    for hashes in (gram_hashes(points, order) for order in ORDERS)
+                    for points, _, starts in batch_blocks(group["text"].tolist())
+                    for hashes in (gram_hashes(points, order, starts) for order in ORDERS)
                 ]
                 grams, counts = np.unique(np.concatenate(parts or [np.zeros(0, np.uint64)]), return_counts=True)
                 yield pd.DataFrame({"lang": name, "gram": grams.view(np.int64), "n": counts})
