@@ -65,7 +65,8 @@ def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     # Windows that overlap or touch are one run of lines.
     cuts = materialize(covered.select(*KEY, runs(F.col("_places"), LINES).alias("_runs")), "line-cuts")
     keyed = source.select("*", *text_key("_doc_id", text)).drop("_doc_id")
-    marked = keyed.join(cuts, KEY, "left")
+    # Always by shuffle: the cuts grow with the input, so broadcasting them would not last.
+    marked = keyed.join(cuts.hint("merge"), KEY, "left")
     lines = F.split(F.col(text), "\n", -1)
     gone = lambda i: F.exists("_runs", lambda r: (i >= r.first) & (i < r.last + LINES))
     left = F.filter(lines, lambda line, i: ~gone(i))
