@@ -30,7 +30,7 @@ SCHEDULES = ((1.5, 1.0, 0.5), (1.0, 1.0, 1.0), (0.5, 1.0, 1.5))
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
-    """``(_source, source_size, class, target)`` from one row per ``_source``.
+    """``(_source, source_size, _mix_class, target)`` from one row per ``_source``.
 
     Sources share all words by weight; none gets more than ``MOST_PASSES`` times its
     size, what is over goes to the rest by weight. The common level is the highest of
@@ -41,8 +41,8 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     before = by_room.rowsBetween(W.unboundedPreceding, -1)
     ranked = sizes.withColumn("_rank", F.row_number().over(W.orderBy("_source")))
     shared = (
-        ranked.withColumn("class", (F.col("_rank") - 1) % len(WEIGHTS))
-        .withColumn("_weight", F.element_at(F.array(*map(F.lit, WEIGHTS)), F.col("class") + 1))
+        ranked.withColumn("_mix_class", (F.col("_rank") - 1) % len(WEIGHTS))
+        .withColumn("_weight", F.element_at(F.array(*map(F.lit, WEIGHTS)), F.col("_mix_class") + 1))
         .withColumn("_most", MOST_PASSES * F.col("source_size"))
         .withColumn("_room", F.col("_most") / F.col("_weight"))
         .withColumn("_total", F.sum("source_size").over(everything))
@@ -53,7 +53,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
         .withColumn("_level", F.max("_level").over(everything))
     )
     target = F.least(F.col("_most").cast("double"), F.col("_level") * F.col("_weight"))
-    return shared.select("_source", "source_size", "class", target.alias("target"))
+    return shared.select("_source", "source_size", "_mix_class", target.alias("target"))
 
 
 def invert_demand(share: Column, knots: Column) -> Column:
@@ -116,7 +116,7 @@ def mix(
     placed = sized.withColumn("_before", F.coalesce(F.sum("size").over(own), F.lit(0)))
     placed = placed.join(plan, ["_source", "_bucket"])
     knots = F.element_at(
-        F.array(*[F.array(*[F.lit(float(v)) for v in s]) for s in schedules]), F.col("class") + 1
+        F.array(*[F.array(*[F.lit(float(v)) for v in s]) for s in schedules]), F.col("_mix_class") + 1
     )
     middle = F.col("_offset") + F.col("_before") + F.col("size") / 2
     places = F.filter(
