@@ -16,13 +16,17 @@ rows are written as often as they occur; an empty table gives no blocks; other c
 are not written.
 """
 
+import json
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -35,19 +39,94 @@ from tarjuman.workspace import new_folder
 BLOCK = 1 << 16
 BLOCKS_AT_ONCE = 32
 END_ID = 0
-WORDS_CACHED = 400_000
+MOST_REMEMBERED = 500_000
 
+#: What splits text before the merges of a byte-level BPE vocabulary.
+WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: A blank between other characters starts a pre-token; blanks beside white space may not.
+SINGLE = re.compile(r"(?<=\S) (?=\S)")
+RARE_WHITE = re.compile(r"[\x0b\x0c\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+
+def is_uneven(text: str) -> bool:
+    """Whether a blank of ``text`` may be at an end or beside white space."""
+    return (
+        text[0] == " " or text[-1] == " " or "  " in text or " \n" in text or "\n " in text
+        or "\t" in text or "\r" in text or (not text.isascii() and RARE_WHITE.search(text) is not None)
+        or "\x0b" in text or "\x0c" in text
+    )
 
-@lru_cache(maxsize=2)
-def tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    loaded = Tokenizer.from_file(path)
-    # More room for words already merged; speed only.
-    if hasattr(loaded.model, "_resize_cache"):
-        loaded.model._resize_cache(WORDS_CACHED)
-    return loaded
+class Encoder:
+    """A tokenizer file's ids for texts, remembering the pieces it has seen.
+
+    With byte-level BPE, a piece between single blanks is encoded alike in any text, so
+    each distinct piece goes through the library once: its own pre-tokens straight to
+    the model if all its characters are below U+0250, else as a small text. Texts with
+    added tokens or odd white space, and other kinds of tokenizers, are encoded whole.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        layout = json.loads(self.tokenizer.to_str())
+        pre = layout["pre_tokenizer"] or {}
+        self.by_piece = (
+            layout["normalizer"] is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
+            and not pre.get("add_prefix_space") and layout["model"]["type"] == "BPE"
+            and not layout["model"].get("dropout")
+        )
+        added = [re.escape(t["content"]) for t in layout["added_tokens"]]
+        self.whole = re.compile("|".join([r"[\x1c-\x1f\x85\u180e\u200b-\u200d\u2060\ufeff]", *added]))
+        self.words, self.pieces = Remembered(self._word), Remembered(self._piece)
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        other = [b for b in range(256) if b not in plain]
+        self.bytes = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+    def _text(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        mapped = word.encode().decode("latin-1").translate(self.bytes)
+        return array("I", [token.id for token in self.tokenizer.model.tokenize(mapped)]).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        if not piece.isascii() and max(piece) >= "\u0250":
+            return self._text(piece)
+        # Most pieces are a blank and letters, or that with one mark at the end.
+        if piece[1:].isalpha() and piece[0] == " ":
+            return self._word(piece)
+        if piece[1:-1].isalpha() and piece[0] == " " and piece[-1] in ".,!?;:":
+            return self.words[piece[:-1]] + self.words[piece[-1]]
+        return b"".join(map(self.words.__getitem__, WORDS.findall(piece)))
+
+    def encode(self, text: str) -> bytes:
+        """The ids as little-endian unsigned 32-bit integers."""
+        if not text or not self.by_piece or self.whole.search(text):
+            return self._text(text)
+        parts = SINGLE.split(text) if is_uneven(text) else text.split(" ")
+        for seen in (self.words, self.pieces):
+            if len(seen) > MOST_REMEMBERED:
+                seen.clear()
+        first = self._piece(parts[0])
+        return first + b"".join(map(self.pieces.__getitem__, [" " + p for p in parts[1:]]))
+
+
+class Remembered(dict):
+    def __init__(self, compute):
+        super().__init__()
+        self.compute = compute
+
+    def __missing__(self, key):
+        value = self[key] = self.compute(key)
+        return value
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def encode_texts(docs: DataFrame, path: str, doc_id: str, text: str) -> DataFrame:
@@ -61,10 +140,10 @@ def encode_texts(docs: DataFrame, path: str, doc_id: str, text: str) -> DataFram
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, seq, offset = TaskContext.get().partitionId(), 0, 0
-        model = tokenizer(path)
+        known = encoder(path)
+        end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            found = model.encode_batch_fast(batch["text"].tolist(), add_special_tokens=False)
-            coded = [np.array([*e.ids, END_ID], "<u4") for e in found]
+            coded = [np.frombuffer(known.encode(t) + end, "<u4") for t in batch["text"]]
             n = np.array([len(ids) for ids in coded], np.int64)
             yield pd.DataFrame({
                 "part": part, "seq": np.arange(seq, seq + len(n)), "offset": offset + np.cumsum(n) - n,
