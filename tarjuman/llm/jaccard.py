@@ -14,8 +14,8 @@ link when 100 * |intersection| >= 75 * |union|. Documents with equal sets are on
    members' fronts with bounds on their sizes and remaining shingles.
 3. Bound. A larger set is looked up in the matrix; groups other than its own qualify if
    sizes and remaining shingles still allow the overlap a link needs.
-4. Open. Only in qualifying groups are members compared, by the same bound first, then
-   exactly. All links together give the components.
+4. Open. Only in qualifying groups are members compared: by the same bound, by an upper
+   bound from small bitmaps of the sets, then exactly. All links together give the components.
 
 The order and the groups decide how much is compared, never what links: no link between
 different classes is lost unless both ends are in one component already. 64-bit hashes
@@ -44,7 +44,7 @@ KEYS = 4
 SKETCH_BITS = 20
 CHUNK = 4096
 COMMON_SIGMAS = 8
-BITMAP_BITS = 27
+BITMAP_BITS = 26
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -92,38 +92,59 @@ def class_of(own: np.ndarray) -> int:
     return int(signed(mix64(total + np.uint64(len(own))))[0])
 
 
+def bits_of(own: np.ndarray) -> bytes:
+    """A bitmap of the set by the low bits of its hashes, four to eight bits a shingle."""
+    size = max(64, 1 << (4 * max(len(own), 1) - 1).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[(own & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def most_overlap(x: bytes, y: bytes, n: int, m: int) -> int:
+    """An upper bound of the overlap of two sets of sizes ``n`` and ``m``: a bit that only
+    one bitmap has is a shingle that only that set has. The larger bitmap is folded."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    if len(a) > len(b):
+        a = np.bitwise_or.reduce(a.reshape(-1, len(b)))
+    elif len(b) > len(a):
+        b = np.bitwise_or.reduce(b.reshape(-1, len(a)))
+    return min(n - int(np.bitwise_count(a & ~b).sum()), m - int(np.bitwise_count(b & ~a).sum()))
+
+
 def needed(a, b):
     """Overlap from which sets of sizes ``a`` and ``b`` link, as numbers or columns."""
     return F.ceil((a + b) * 3 / F.lit(7)).cast("int")
 
 
 def scan_sets(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """``(doc_id, n, class, keys)`` of every row of ``(doc_id, text)``, and the count sketch."""
+    """``(doc_id, n, class, keys, bits)`` of every row of ``(doc_id, text)``, and the count sketch."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sketch = np.zeros(1 << SKETCH_BITS, np.int32)
         seeds = mix64(np.arange(1, KEYS + 1, dtype=np.uint64) * np.uint64(_BASE))
         for batch in batches:
-            sizes, classes, keys = [], [], []
+            sizes, classes, keys, bits = [], [], [], []
             for text in batch["text"]:
                 own = shingles(text)
                 np.add.at(sketch, (own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
                 sizes.append(len(own))
                 classes.append(class_of(own))
+                bits.append(bits_of(own))
                 keys.append([int(signed(mix64(own ^ s).min().reshape(1))[0]) for s in seeds] if len(own) else [])
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "n": sizes, "class": classes, "keys": keys, "chunk": None, "counts": None,
+                "doc_id": batch["doc_id"], "n": sizes, "class": classes, "keys": keys, "bits": bits,
+                "chunk": None, "counts": None,
             })
         for chunk in range(0, 1 << SKETCH_BITS, CHUNK):
             if sketch[chunk:chunk + CHUNK].any():
                 yield pd.DataFrame({
-                    "doc_id": [None], "n": None, "class": None, "keys": None,
+                    "doc_id": [None], "n": None, "class": None, "keys": None, "bits": None,
                     "chunk": chunk, "counts": [sketch[chunk:chunk + CHUNK].tobytes()],
                 })
 
     scanned = docs.select("doc_id", "text").mapInPandas(
-        scan, f"doc_id {kind}, n int, class long, keys array<long>, chunk int, counts binary")
+        scan, f"doc_id {kind}, n int, class long, keys array<long>, bits binary, chunk int, counts binary")
     scanned = materialize(scanned, "sets")
 
     @F.pandas_udf("binary")
@@ -157,6 +178,31 @@ def rare_first(own: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return own[np.argsort(level, kind="stable")]
 
 
+def bitmap_of(hashes: DataFrame, column: str):
+    """A broadcast bitmap with a bit for each hash, by its low bits: a first filter of
+    fixed size, whatever the data, put together on the executors."""
+    bit = F.col(column).bitwiseAND((1 << BITMAP_BITS) - 1)
+    words = hashes.select(F.shiftright(bit, 6).alias("word"), bit.bitwiseAND(63).cast("int").alias("bit"))
+    words = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+
+    def pack(group: pd.DataFrame) -> pd.DataFrame:
+        chunk = int(group["word"].iloc[0]) // CHUNK
+        packed = np.zeros(CHUNK, np.int64)
+        packed[group["word"].to_numpy(np.int64) % CHUNK] = group["bits"].to_numpy(np.int64)
+        return pd.DataFrame({"chunk": [chunk], "bits": [packed.tobytes()]})
+
+    chunks = words.groupBy(F.shiftright("word", CHUNK.bit_length() - 1)).applyInPandas(pack, "chunk long, bits binary")
+    bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
+    for row in chunks.collect():
+        bitmap[row["chunk"] * CHUNK:(row["chunk"] + 1) * CHUNK] = np.frombuffer(bytes(row["bits"]), np.uint64)
+    return hashes.sparkSession.sparkContext.broadcast(bitmap)
+
+
+def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    bit = hashes & np.uint64((1 << BITMAP_BITS) - 1)
+    return (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
+
+
 def star_pairs(docs: DataFrame, sets: DataFrame, levels) -> DataFrame:
     """``(a, b)``: a class and the leader of a min-hash bucket it is in, if sizes allow a link."""
     kept = sets.where("n > 0").groupBy("class").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
@@ -182,21 +228,36 @@ def star_pairs(docs: DataFrame, sets: DataFrame, levels) -> DataFrame:
     return pairs.select(F.col("class").alias("a"), "b").distinct()
 
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs of classes whose sets link, by exact comparison."""
-    pairs = materialize(pairs, "pairs")
+def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs of classes whose bitmaps allow a link. No link is lost, few others stay."""
+    classes = sets.where("n > 0").groupBy("class").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+
+    @F.pandas_udf("boolean")
+    def allowed(x: pd.Series, y: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        return pd.Series([7 * most_overlap(*row) >= 3 * (row[2] + row[3]) for row in zip(x, y, n, m)], dtype=bool)
+
+    both = pairs.join(classes.toDF("a", "n", "x"), "a").join(classes.toDF("b", "m", "y"), "b")
+    return materialize(both.where(allowed("x", "y", "n", "m")).select("a", "b"), "possible")
+
+
+def verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs of classes whose sets link: by bitmaps first, what they leave by exact comparison."""
+    pairs = possible(pairs, sets)
     wanted = materialize(
         pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct(), "compared")
+    likely = bitmap_of(wanted, "class")
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             own = [shingles(t) for t in batch["text"]]
-            yield pd.DataFrame({"class": [class_of(s) for s in own], "set": [s.tobytes() for s in own]})
+            classes = np.array([class_of(s) for s in own], np.int64)
+            hit = in_bitmap(likely.value, classes.view(np.uint64))
+            yield pd.DataFrame({"class": classes[hit], "set": [s.tobytes() for s, h in zip(own, hit) if h]})
 
-    # Only classes that are compared are kept, each once.
-    sets = docs.select("text").mapInPandas(hashed, "class long, set binary")
-    sets = sets.join(wanted, "class", "left_semi").dropDuplicates(["class"])
-    sets = materialize(sets, "compared-sets")
+    # Only classes that are compared are kept, each once; most others are not even shuffled.
+    compared = docs.select("text").mapInPandas(hashed, "class long, set binary")
+    compared = compared.join(wanted, "class", "left_semi").dropDuplicates(["class"])
+    compared = materialize(compared, "compared-sets")
 
     @F.pandas_udf("boolean")
     def link(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -210,8 +271,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             found.append(100 * both >= 75 * (len(x) + len(y) - both))
         return pd.Series(found, dtype=bool)
 
-    both = pairs.join(sets.select(F.col("class").alias("a"), F.col("set").alias("left")), "a")
-    both = both.join(sets.select(F.col("class").alias("b"), F.col("set").alias("right")), "b")
+    both = pairs.join(compared.toDF("a", "left"), "a").join(compared.toDF("b", "right"), "b")
     return materialize(both.where(link("left", "right")).select("a", "b"), "verified")
 
 
@@ -227,8 +287,7 @@ def fronts(docs: DataFrame, levels, bitmap=None) -> DataFrame:
                 front = rare_first(own, levels.value)[:n - -(-3 * n // 4) + 1]
                 pos = np.arange(len(front), dtype=np.int32)
                 if bitmap is not None and n:
-                    bit = front & np.uint64((1 << BITMAP_BITS) - 1)
-                    hit = (bitmap.value[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
+                    hit = in_bitmap(bitmap.value, front)
                     front, pos = front[hit], pos[hit]
                 if len(front):
                     parts.append((front, np.full(len(front), class_of(own)), np.full(len(front), n, np.int32), pos))
@@ -245,21 +304,10 @@ def shared_tokens(docs: DataFrame, levels) -> DataFrame:
     return materialize(rows.where("low < high").select("token"), "shared")
 
 
-def bitmap_of(tokens: DataFrame) -> np.ndarray:
-    """A bit for each token, by its low bits: at most 2**(BITMAP_BITS - 6) words whatever the data."""
-    bit = F.col("token").bitwiseAND((1 << BITMAP_BITS) - 1)
-    words = tokens.select(F.shiftright(bit, 6).alias("word"), bit.bitwiseAND(63).cast("int").alias("bit"))
-    words = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toPandas()
-    bitmap = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
-    bitmap[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    return bitmap.view(np.uint64)
-
-
 def cross_pairs(docs: DataFrame, groups: DataFrame, levels) -> DataFrame:
     """``(a, b)``: classes of different groups that may link, by the token-group matrix."""
     tokens = shared_tokens(docs, levels)
-    bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(tokens))
-    rows = fronts(docs, levels, bitmap).join(tokens, "token", "left_semi").distinct()
+    rows = fronts(docs, levels, bitmap_of(tokens, "token")).join(tokens, "token", "left_semi").distinct()
     rows = rows.join(groups.withColumnsRenamed({"node": "class", "label": "group"}), "class", "left")
     rows = materialize(rows.withColumn("group", F.coalesce("group", "class")), "fronts")
     index = rows.where(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * 6 / F.lit(7)))
@@ -289,9 +337,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     sets, sketch = scan_sets(docs)
     levels = spark.sparkContext.broadcast(levels_of(sketch))
-    stars = verified(docs, star_pairs(docs, sets, levels))
+    stars = verified(docs, star_pairs(docs, sets, levels), sets)
     groups = components(stars)
-    crossing = verified(docs, cross_pairs(docs, groups, levels))
+    crossing = verified(docs, cross_pairs(docs, groups, levels), sets)
     labels = components(stars.union(crossing))
     least = sets.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     labelled = least.join(labels, F.col("class") == F.col("node"), "left")
