@@ -41,7 +41,7 @@ def path_of(url: Column) -> Column:
 def longest_rule(host: Column, path: Column, rules=RULES) -> Column:
     """The fitting rule as ``struct(rule, verdict)``: longest host and path, else null."""
     ordered = sorted(rules, key=lambda r: (-len(r[0] + r[1]), -len(r[0]), r[0]))
-    chosen = F.lit(None)
+    chosen = F.lit(None).cast("struct<rule:string,verdict:string>")
     for rule_host, rule_path, verdict in reversed(ordered):
         fits = ((host == rule_host) | host.endswith("." + rule_host)) & path.startswith(rule_path)
         pair = F.struct(F.lit(rule_host + rule_path).alias("rule"), F.lit(verdict).alias("verdict"))
