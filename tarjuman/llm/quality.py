@@ -3,8 +3,9 @@
 Every language has two reference histograms, counted over all documents: character
 classes, and its common words (each at least ``COMMON`` of its words, so at most
 1/COMMON of them) with one bin for all other words. A document is compared with each
-language by Jensen-Shannon distance (base 2, 0 to 1); the nearest language counts. A
-histogram is judged only if the text is long enough for it.
+language by Jensen-Shannon distance (base 2, 0 to 1); the nearest language counts. Word
+distances are shares of the distance of a text without any common word. A histogram is
+judged only if the text is long enough for it.
 
 Common words are exact in two passes: hashed counts over all words first, which bound
 every word's count from above, then exact counts of the words whose bin is frequent.
@@ -32,7 +33,7 @@ CLASSES = ("letter", "capital", "digit", "blank", "stop", "symbol", "accented",
 COMMON = 2e-3
 BINS = 1 << 16
 LEAST_CHARS, LEAST_WORDS = 200, 50
-MOST_CHAR_DISTANCE, MOST_WORD_DISTANCE = 0.25, 0.48
+MOST_CHAR_DISTANCE, MOST_WORD_DISTANCE = 0.25, 0.93
 LEAST_DOC_WORDS = 50
 
 _TABLE: list[np.ndarray] = []
@@ -118,6 +119,10 @@ class References:
                 self.index[lang] = {w: i for i, w in enumerate(sorted(counts))}
                 own = [counts[w] for w in sorted(counts)]
                 self.words[lang] = np.array(own + [totals[lang] - sum(own)], float)
+        # A text without any common word is as far from a language as a text can be in practice,
+        # and how far that is depends on the language.
+        self.farthest = {
+            lang: js_distance(np.eye(1, len(ref), len(ref) - 1)[0], ref) or 1.0 for lang, ref in self.words.items()}
 
     def distances(self, text: str | None) -> tuple[float | None, float | None]:
         """To the nearest language: by character classes, by common words; null if too short."""
@@ -129,13 +134,13 @@ class References:
         words = Counter(plain_words(text)) if self.words else {}
         n = sum(words.values())
         if n >= LEAST_WORDS:
-            by_word = 1.0
+            by_word = np.inf
             for lang, index in self.index.items():
                 own = np.zeros(len(index) + 1)
                 for word in index.keys() & words.keys():
                     own[index[word]] = words[word]
                 own[-1] = n - own.sum()
-                by_word = min(by_word, js_distance(own, self.words[lang]))
+                by_word = min(by_word, js_distance(own, self.words[lang]) / self.farthest[lang])
         return by_class, by_word
 
 
