@@ -5,8 +5,10 @@ a second-person word, capitals, exclamation and repeated punctuation, and signs
 obfuscation (digits or symbols within words, spelled-out or masked words).
 
 Model and learned lexicon are fitted on at most about ``MOST_LABELLED`` labelled rows,
-chosen by the hash of the text, three quarters for the trees and the rest for the
-calibration. Scoring reads every row and whole texts.
+chosen by the hash of the text, in ``FOLDS`` parts. Labels are never used twice: a row's
+features for fitting come from a lexicon learned on the other parts, and its margin for the
+isotonic curve from trees fitted on the other parts. The scorer's own lexicon and trees are
+then those of all rows. Scoring reads every row and whole texts.
 
 Defined cases: null and empty texts have all features 0 and get that point's score;
 rows without a label teach nothing; without labels of both kinds every score is the
@@ -15,6 +17,7 @@ share of label 1 (0 if none); repeated rows get equal scores.
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -29,10 +32,11 @@ from tarjuman.workspace import materialize
 
 MOST_LABELLED = 24_000
 MOST_LEARNED = 100
-LEAST_SHARE = 0.01
+LEAST_SHARE, LEAST_TEXTS = 0.01, 3
 LEAST_LIFT = 5.0
 NEAR = 6
 ROUNDS, DEPTH = 20, 3
+FOLDS = 3
 
 INSULTS = frozenset(
     "idiot idiots moron morons scum trash garbage worthless pathetic disgusting clown stupid dumb loser "
@@ -108,8 +112,9 @@ def with_features(docs: DataFrame, learned: frozenset[bytes], text: str) -> Data
 
 
 def learn_lexicon(rows: DataFrame) -> frozenset[bytes]:
-    """Words that are in at least ``LEAST_SHARE`` of the toxic texts of the sample and
-    ``LEAST_LIFT`` times as common there; the ``MOST_LEARNED`` strongest."""
+    """Words that are in at least ``LEAST_SHARE`` of the toxic texts of the sample, in
+    ``LEAST_TEXTS`` of them, and ``LEAST_LIFT`` times as common there; the ``MOST_LEARNED``
+    strongest."""
 
     def words_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -126,10 +131,13 @@ def learn_lexicon(rows: DataFrame) -> frozenset[bytes]:
                 })
 
     sizes = rows.agg(F.sum(F.lit(1) - F.col("label")), F.sum("label")).first()
+    if not sizes[1]:
+        return frozenset()
     counts = rows.select("text", "label").mapInPandas(words_of, "word binary, clean long, toxic long")
     counts = counts.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     share, other = F.col("toxic") / sizes[1], (F.col("clean") + 1) / (sizes[0] + 1)
-    counts = counts.where((share >= LEAST_SHARE) & (share >= LEAST_LIFT * other) & (F.length("word") > 2))
+    counts = counts.where((share >= LEAST_SHARE) & (F.col("toxic") >= LEAST_TEXTS))
+    counts = counts.where((share >= LEAST_LIFT * other) & (F.length("word") > 2))
     best = counts.orderBy((share / other).desc(), "word").limit(MOST_LEARNED)
     return frozenset(bytes(r["word"]) for r in best.collect())
 
@@ -145,24 +153,31 @@ def learn(labelled: DataFrame, text: str = "text", label: str = "label") -> Scor
     sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(sizes) < 2:
         return Scorer(float(bool(sizes.get(1))))
+    rows = rows.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "text"), F.lit(FOLDS)))
+    parts = []
+    for fold in range(FOLDS):
+        lexicon = learn_lexicon(rows.where(F.col("fold") != fold))
+        parts.append(with_features(rows.where(F.col("fold") == fold), lexicon, "text").select(
+            "_toxic_features", F.col("label").cast("double").alias("label"), "fold"))
     learned = learn_lexicon(rows)
-    ready = with_features(rows, learned, "text").select(
-        "_toxic_features", F.col("label").cast("double").alias("label"),
-        F.pmod(F.xxhash64(F.lit("fold"), "text"), F.lit(4)).alias("fold"),
-    )
-    ready = materialize(ready, "toxicity-features")
+    ready = materialize(reduce(DataFrame.union, parts), "toxicity-features")
     boosting = GBTClassifier(
         featuresCol="_toxic_features", labelCol="label", predictionCol="_toxic_guess",
         maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.25, maxBins=64, seed=7,
     )
     boosting.setRawPredictionCol("_toxic_raw").setProbabilityCol("_toxic_chance")
-    trees = boosting.fit(ready.where("fold > 0"))
-    margins = with_margin(trees.transform(ready.where("fold = 0")))
-    if margins.isEmpty():
-        margins = with_margin(trees.transform(ready))
+    trees = boosting.fit(ready)
+    present = {(r["fold"], r["label"]) for r in ready.select("fold", "label").distinct().collect()}
+    rated = []
+    for fold in range(FOLDS):
+        # Trees need rows of both labels outside the part that they rate.
+        if {label for other, label in present if other != fold} == {0.0, 1.0}:
+            others = boosting.fit(ready.where(F.col("fold") != fold))
+            rated.append(with_margin(others.transform(ready.where(F.col("fold") == fold))))
+    rated = [m.select("_toxic_margin", "label") for m in rated or [with_margin(trees.transform(ready))]]
     calibration = IsotonicRegression(
         featuresCol="_toxic_margin", labelCol="label", predictionCol="_toxic_score"
-    ).fit(margins.select("_toxic_margin", "label"))
+    ).fit(reduce(DataFrame.union, rated))
     return Scorer(sizes[1] / sum(sizes.values()), learned, trees, calibration)
 
 
