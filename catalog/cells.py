@@ -51,6 +51,11 @@ def limit_rows(spark, sf):
     return shape.limit_rows(orders, "o_orderkey", 100)
 
 
+@query("limit_ties", "select l_orderkey from lineitem order by l_orderkey limit 1003")
+def limit_ties(spark, sf):
+    return shape.limit_rows(table(spark, sf, "lineitem"), "l_orderkey", 1003).select("l_orderkey")
+
+
 _PART_AR = ", ".join(f"{inputs.sql_transliterated(c)} as {c}_ar" for c in ("p_name", "p_type"))
 
 

@@ -133,7 +133,7 @@ def scan_mixed(spark, sf):
     share[1].write.options(sep="\t", extension="tsv").csv(f"{path}/b", **_CSV)
     share[2].write.option("extension", "dat").csv(f"{path}/c", **_CSV)
     share[3].write.json(f"{path}/d")
-    share[4].write.parquet(f"{path}/e")
+    share[4].write.partitionBy("lang").parquet(f"{path}/e")
     return scans.scan_files(spark, path).select(*COLUMNS)
 
 
@@ -143,6 +143,7 @@ def scan_split(spark, sf):
     docs = table(spark, sf, "documents").select(*COLUMNS)
     docs.where("lang <> 'de'").write.parquet(f"{root}/prose/v1/train")
     docs.where("lang = 'de'").write.parquet(f"{root}/prose/v1/test")
+    docs.where("lang = 'de'").write.parquet(f"{root}/prose/v1/train_sft")
     return scans.load_table(
         spark, "huggingface:prose", subset="v1", roots={"huggingface": root}
     )

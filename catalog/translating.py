@@ -11,6 +11,7 @@ from tarjuman.operators.providers import (
     CallProvider, ColumnProvider, MemoryProvider, transliterated, transliterating_client,
     transliterator,
 )
+from tarjuman.plans.job import run_job
 from tarjuman.plans.translate import translate_table
 from tarjuman.streaming.arrivals import arriving_files, translate_stream
 from tarjuman.workspace import new_folder
@@ -50,15 +51,18 @@ _GOOD = inputs.sql_transliterated("text")
  case when kind < 2 or (kind < 4 and api = 'nvidia') then null when api = 'fanar'
   then 'API returned None' when kind in (4, 5) then 'no message in response'
   when kind = 6 then 'timeout' else 'no response' end as error
- from (select doc_id::varchar as request_id, doc_id % 8 as kind, {inputs.sql_trim(_GOOD)} as good,
-  case when lang = 'en' then 'nvidia' else 'fanar' end as api from documents)""")
+ from (select doc_id::varchar as request_id, doc_id % 8 as kind, api,
+  api || ': ' || {inputs.sql_trim(_GOOD)} as good
+  from documents cross join (select unnest(['fanar', 'nvidia']) as api))""")
 def parse_responses(spark, sf):
-    docs = table(spark, sf, "documents").select(
+    source = table(spark, sf, "documents")
+    apis = ["fanar", "nvidia"]
+    docs = source.select(
         F.col("doc_id").cast("string").alias("request_id"),
-        F.when(F.col("lang") == "en", "nvidia").otherwise("fanar").alias("api"),
+        F.explode(F.array(*map(F.lit, apis))).alias("api"),
         (F.col("doc_id") % 8).alias("kind"),
         trim_text(transliterated(F.col("text"))).alias("good"),
-    )
+    ).withColumn("good", F.concat("api", F.lit(": "), "good"))
     content = (
         F.when(F.col("kind") == 0, F.col("good"))
         .when(F.col("kind") == 1, F.concat(F.lit("  "), "good", F.lit("\n")))
@@ -70,12 +74,13 @@ def parse_responses(spark, sf):
         {"ignoreNullFields": "false"},
     )
     responses = docs.where("kind < 7").select(
-        "request_id",
+        "request_id", "api",
         F.when(F.col("kind") < 4, body).when(F.col("kind") == 4, '{"choices": []}')
         .when(F.col("kind") == 5, '{"choices": [{"mess').alias("body"),
         F.when(F.col("kind") == 6, "timeout").alias("error"),
     )
-    return requests.parse_responses(docs.select("request_id", "api"), responses)
+    asked = requests.build_requests(source, F.col("doc_id"), F.col("text"), apis)
+    return requests.parse_responses(asked, responses)
 
 
 _REPLIES = f"""select doc_id, true as success, {inputs.sql_transliterated("text")} as translation,
@@ -143,6 +148,29 @@ def translate_multi_column(spark, sf):
     )
 
 
+_CONV = "case when turn % 3 = 0 then null else conv_id end"
+
+
+@query("translate_repeated_keys", f"""select {_CONV} as conv_id, turn, role, text,
+ {_column_sql("role")}, {_column_sql("text")} from conversations""")
+def translate_repeated_keys(spark, sf):
+    turns = table(spark, sf, "conversations").select(F.expr(_CONV).alias("conv_id"), "turn", "role", "text")
+    return translate_table(turns, ["role", "text"], [transliterator("nvidia")], ["conv_id"])
+
+
+@query("job_csv", f"""select p_partkey, p_name, p_type, {_column_sql("p_name")}, {_column_sql("p_type")}
+ from part""")
+def job_csv(spark, sf):
+    source, output = new_folder(spark, "plain-csv"), f"{new_folder(spark, 'job')}/out.parquet"
+    parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_type")
+    parts.write.csv(source, header=True, quote='"', escape='"')
+    run_job(spark, {
+        "dataset": {"source": source, "columns_to_translate": ["p_name", "p_type"]},
+        "output": {"path": output},
+    }, {"nvidia": transliterator("nvidia")})
+    return spark.read.parquet(output)
+
+
 @query("translate_only_columns", f"""select conv_id, turn, {_column_sql("text")}
  from conversations""")
 def translate_only_columns(spark, sf):

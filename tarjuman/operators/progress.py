@@ -59,18 +59,27 @@ def discard_after(folder: str, like: DataFrame, upto: int, latest: int) -> None:
 
 
 def pending(work: DataFrame, done: DataFrame | None, key: list[str]) -> DataFrame:
-    """Work not finished yet. Keys are unique on both sides."""
+    """Work not finished yet. Null keys equal each other."""
     if done is None:
         return work
-    return work.join(done.select(*key), key, "left_anti")
+    known = done.select(*[F.col(f"`{k}`").alias(f"_of_{k}") for k in key]).distinct()
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"`_of_{k}`")) for k in key]
+    return work.join(known, same, "left_anti")
 
 
 def restore(
     df: DataFrame, done: DataFrame, key: list[str], generated: list[str]
 ) -> DataFrame:
-    """Fill the generated columns from finished work; originals are left alone."""
-    saved = done.select(*key, *[F.col(f"`{c}`").alias(f"_saved_{c}") for c in generated])
-    joined = df.join(saved, key, "left")
+    """Fill the generated columns from finished work; originals are left alone.
+
+    ``done`` holds a key once. Null keys equal each other.
+    """
+    saved = done.select(
+        *[F.col(f"`{k}`").alias(f"_of_{k}") for k in key],
+        *[F.col(f"`{c}`").alias(f"_saved_{c}") for c in generated],
+    )
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"`_of_{k}`")) for k in key]
+    joined = df.join(saved, same, "left").drop(*[f"_of_{k}" for k in key])
     values = {}
     for c in generated:
         stored = F.col(f"_saved_{c}")

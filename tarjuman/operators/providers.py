@@ -7,9 +7,10 @@ A provider adds ``success``, ``translation`` and ``error`` to a table holding
 import time
 from collections import deque
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
@@ -83,11 +84,12 @@ class MemoryProvider:
 class Pace:
     """Admits at most ``limit`` calls of one task in any ``window`` seconds."""
 
-    def __init__(self, limit: int, window: float):
-        self.window = window
+    def __init__(self, limit: int, window: float, not_before: float = 0.0):
+        self.window, self.not_before = window, not_before
         self.starts: deque[float] = deque(maxlen=limit)
 
     def wait(self) -> None:
+        time.sleep(max(0.0, self.not_before - time.time()))
         if len(self.starts) == self.starts.maxlen:
             time.sleep(max(0.0, self.starts[0] + self.window - time.monotonic()))
         self.starts.append(time.monotonic())
@@ -102,8 +104,10 @@ class CallProvider:
     as an error of that text only.
 
     With ``per_minute`` set, prompts go to ``lanes`` tasks, each allowed an even
-    share, so tasks together keep the limit without talking to each other. A
-    restarted task starts a new share; turn speculation off for strict limits.
+    share, so tasks together keep the limit without talking to each other. Rounds and
+    batches run one after another; each but the first waits for a window to pass, as the
+    one before it may have spent its share to the end. A restarted task starts a new
+    share; turn speculation off for strict limits.
     """
 
     name: str
@@ -112,21 +116,29 @@ class CallProvider:
     lanes: int = 1
     window: float = fixed.RATE_WINDOW_SECONDS
     remote: bool = True
+    asked: list[float] = field(default_factory=list, compare=False, repr=False)
 
     def answer(self, prompts: DataFrame, attempt: int = 1) -> DataFrame:
-        share = None
+        lanes = max(1, min(self.lanes, self.per_minute or 1))
+        not_before = 0.0
         if self.per_minute:
-            lanes = max(1, min(self.lanes, self.per_minute))
-            share = self.per_minute // lanes
             prompts = prompts.repartition(lanes, F.xxhash64("prompt"))
+            if self.asked:
+                not_before = time.time() + self.window
+            self.asked[:] = [time.time()]
         schema = StructType([*prompts.schema.fields, *REPLY_FIELDS])
-        return prompts.mapInPandas(_caller(self.connect, share, self.window), schema)
+        caller = _caller(self.connect, self.per_minute, lanes, self.window, not_before)
+        return prompts.mapInPandas(caller, schema)
 
 
-def _caller(connect, share: int | None, window: float):
+def _caller(connect, limit: int | None, lanes: int, window: float, not_before: float):
     def call(batches: Iterator[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         client = connect()
-        pace = Pace(share, window) if share else None
+        pace = None
+        if limit:
+            # The remainder goes to the first lanes, one call each.
+            more = TaskContext.get().partitionId() < limit % lanes
+            pace = Pace(limit // lanes + more, window, not_before)
         for batch in batches:
             replies = [_one(client, text, pace) for text in batch["prompt"]]
             columns = list(zip(*replies)) or [(), (), ()]

@@ -75,13 +75,13 @@ def reply_of_body(body: Column, api: str, transport_error: Column | None = None)
 def parse_responses(requests: DataFrame, responses: DataFrame) -> DataFrame:
     """Requests with the outcome of each.
 
-    ``responses`` holds ``(request_id, body, error)``, where ``error`` tells why no
-    body came back. A request without a response failed. Request ids are unique.
+    ``responses`` holds ``(request_id, api, body, error)``, where ``error`` tells why no
+    body came back. A request without a response failed. A request id is unique per api.
     """
     paired = requests.select("request_id", "api").join(
-        responses.select("request_id", F.col("body").alias("_body"), F.col("error").alias("_lost"),
+        responses.select("request_id", "api", F.col("body").alias("_body"), F.col("error").alias("_lost"),
                          F.lit(True).alias("_answered")),
-        "request_id", "left",
+        ["request_id", "api"], "left",
     )
     lost = F.when(F.col("_answered").isNull(), F.lit("no response")).otherwise(F.col("_lost"))
     reply = F.lit(None).cast("struct<success:boolean,translation:string,error:string>")

@@ -1,16 +1,15 @@
 """Columns, rows and cells of a table."""
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tarjuman import fixed
-from tarjuman.operators.ordered import position, sorted_runs
+from tarjuman.operators.ordered import Measure, add, running, sorted_runs
 from tarjuman.operators.skew import hot_keys, salted_join
 
-# Above this many rows an ordered limit is taken by position, not by one task.
-LIMIT_IN_ONE_TASK = 100_000
-
 
 def spread(df: DataFrame, key: list[str]) -> DataFrame:
     """Deal out a scan that has fewer splits than there are cores.
@@ -75,17 +74,49 @@ def missing_columns(df: DataFrame, columns: list[str]) -> list[str]:
     return [c for c in columns if c not in df.columns]
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of the whole row, to deal out rows that no key tells apart."""
+    fit = [f.name for f in df.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in fit])
+
+
 def limit_rows(df: DataFrame, key: str | list[str], n: int) -> DataFrame:
-    """The first ``n`` rows in the order of a unique key."""
+    """The first ``n`` rows in the order of ``key``, nulls first: exactly ``n`` rows
+    if there are as many, whatever the ties. Ties are taken by a digest of the row."""
     order = [key] if isinstance(key, str) else list(key)
-    if n <= LIMIT_IN_ONE_TASK:
-        return df.orderBy(*order).limit(n)
-    # The n-th key, found among the keys alone, bounds the rows wanted.
-    placed = position(sorted_runs(df.select(*order), order), [], "_position")
-    last = placed.where(F.col("_position") == n - 1).select(*order).first()
-    if last is None:
+    if n <= 0:
+        return df.limit(0)
+    place = F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(order)])
+    cut = _cut(df.select(place.alias("place")), n)
+    if cut is None:
         return df
-    return df.where(F.struct(*order) <= F.struct(*[F.lit(last[c]).alias(c) for c in order]))
+    bound, before, upto = cut
+    if upto == n:
+        return df.where(place <= bound)
+    # The cut falls within a tie: its rows are told apart by their digests, and rows of
+    # one digest are copies of each other.
+    tied = df.where(place.eqNullSafe(bound))
+    digest = F.struct(F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])), 256).alias("k0"))
+    bound_tie, before_tie, _ = _cut(tied.select(digest.alias("place")), n - before)
+    copies = F.sequence(F.lit(1), F.lit(n - before - before_tie))
+    last = tied.where(digest == bound_tie).limit(1).select("*", F.explode(copies).alias("_copy")).drop("_copy")
+    return df.where((place < bound) | (place.eqNullSafe(bound) & (digest < bound_tie))).union(last)
+
+
+def _cut(places: DataFrame, n: int) -> tuple[Column, int, int] | None:
+    """The place of the ``n``-th row, the number of rows before that place and up to it.
+
+    Equal places are counted before the shuffle, so a tie of any size is one row.
+    """
+    fields = places.schema["place"].dataType.fields
+    names = [f.name for f in fields]
+    counted = places.groupBy(*[F.col(f"place.{c}").alias(c) for c in names]).agg(F.count(F.lit(1)).alias("_rows"))
+    summed = running(sorted_runs(counted, names), [], Measure("_upto", F.col("_rows"), F.sum, add))
+    found = summed.where((F.col("_upto") >= n) & (F.col("_upto") - F.col("_rows") < n)).first()
+    if found is None:
+        return None
+    bound = F.struct(*[F.lit(found[f.name]).cast(f.dataType).alias(f.name) for f in fields])
+    return bound, found["_upto"] - found["_rows"], found["_upto"]
 
 
 def translated_names(columns: list[str], suffix: str = "ar") -> list[str]:
@@ -166,6 +197,8 @@ def pivot_cells(
 def attach_translations(
     df: DataFrame, wide: DataFrame, key: list[str], preserve: bool = True
 ) -> DataFrame:
-    """Join translations to their rows; rows without any keep nulls."""
+    """Join translations to their rows, null keys included; rows without any keep nulls."""
     base = df if preserve else df.select(*key)
-    return base.join(wide, key, "left")
+    found = wide.withColumnsRenamed({k: f"_of_{k}" for k in key})
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"`_of_{k}`")) for k in key]
+    return base.join(found, same, "left").drop(*[f"_of_{k}" for k in key])

@@ -5,9 +5,6 @@ from pyspark.sql import functions as F
 
 from tarjuman import fixed
 
-# A mapping becomes one expression per term, so it must fit a plan.
-MAX_TERMS = 2_000
-
 
 def default_terms(spark: SparkSession) -> DataFrame:
     """``(term, replacement, rank)`` of the default mapping."""
@@ -33,8 +30,9 @@ def merge_terms(base: DataFrame, custom: DataFrame) -> DataFrame:
 
 
 def terms_as_mapping(terms: DataFrame) -> dict[str, str]:
-    """A term table as the mapping the text functions take, in rank order."""
-    rows = terms.select("term", "replacement", "rank").limit(MAX_TERMS + 1).collect()
-    if len(rows) > MAX_TERMS:
-        raise ValueError(f"A term mapping holds at most {MAX_TERMS} terms")
+    """A term table as the mapping the text functions take, in rank order.
+
+    A mapping is a setting that becomes one expression per term, so it is held here whole.
+    """
+    rows = terms.select("term", "replacement", "rank").collect()
     return {row["term"]: row["replacement"] for row in sorted(rows, key=lambda r: r["rank"])}

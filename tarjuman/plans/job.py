@@ -3,6 +3,7 @@
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -14,6 +15,7 @@ from tarjuman.operators.statistics import stats_from_outcomes
 from tarjuman.plans.translate import failed_cells, translate
 from tarjuman.sources.scans import load_table
 from tarjuman.sources.sinks import write_statistics, write_table
+from tarjuman.workspace import materialize
 
 DEFAULTS = {
     "dataset": {
@@ -134,10 +136,15 @@ def _schema(schema: str | StructType | None) -> StructType | None:
 
 
 def _keyed(table: DataFrame, key: str | Sequence[str] | None) -> tuple[DataFrame, list[str], bool]:
-    """The table with its key: the caller's, else file and row of a Parquet scan."""
+    """The table with its key: the caller's, else file and row of a Parquet scan.
+
+    Rows of other formats have no such identity; they are written once as typed
+    Parquet, and the later steps run on that copy. Finished work is found again by
+    its texts, so the identity need not outlast the run.
+    """
     if key:
         return table, [key] if isinstance(key, str) else list(key), False
     try:
         return with_row_id(table), ["source_file", "source_row"], True
-    except Exception as problem:
-        raise ValueError("name a key column: only Parquet rows have an identity") from problem
+    except AnalysisException:
+        return with_row_id(materialize(table, "source")), ["source_file", "source_row"], True

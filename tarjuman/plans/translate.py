@@ -13,10 +13,10 @@ from tarjuman.functions.text import preprocess
 from tarjuman.operators import progress
 from tarjuman.operators.rounds import ATTEMPTS, outcomes, run_rounds
 from tarjuman.operators.shape import (
-    attach_translations, cell_text, pivot_cells, translated_names, unpivot_cells,
+    cell_text, pivot_cells, row_hash, translated_names, unpivot_cells,
 )
 from tarjuman.operators.skew import hot_keys, salted_join
-from tarjuman.workspace import new_folder
+from tarjuman.workspace import materialize, new_folder
 
 CELL_COLUMNS = {"column", "text", "text_key", "translation", "api"}
 
@@ -83,8 +83,10 @@ def translate(
     batches: int = 1,
     batch_rows: int | None = None,
 ) -> Translation:
-    """Translate ``columns`` of ``df``, whose rows ``key`` identifies.
+    """Translate ``columns`` of ``df``.
 
+    ``key`` names rows in lists of failures and in narrow results. It may be null or
+    repeated: translations find their cells by the texts, not by the key.
     Distinct texts go to the providers in rounds, in ``batches`` (or batches of
     about ``batch_rows`` texts); finished rounds are kept in ``progress_folder``.
     With ``resume`` the texts finished there are not sent again; ``upto`` names the
@@ -158,28 +160,41 @@ def join_outcomes(
 ) -> DataFrame:
     """Put translations beside their cells.
 
-    One column is joined directly. Several go through the long table, which
-    carries digests instead of texts, so the wide rows are shuffled once only.
+    One column is joined directly by the digest of its text. Several are joined by the
+    digest of all their texts: rows that agree in them share their translations, so
+    each combination is looked up once, and the wide rows are shuffled once only.
     """
+    columns = list(columns)
     hot = hot_keys(requests, "text_key", "n_cells")
     good = finished.where(F.col("translation").isNotNull()).select("text_key", "translation", "api")
+    kept = df.columns if preserve else list(key)
+    base = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*kept, *columns])])
+    digests = [text_key(cell_text(F.col(f"`{c}`"), null_policy)) for c in columns]
+    # Rows without a text match nothing; keys of their own keep them off one task.
+    keyed = base.withColumn("_row_hash", row_hash(base))
+    alone = F.concat(F.lit("null:"), F.col("_row_hash").cast("string"))
+    names = translated_names(columns, suffix)
     if len(columns) == 1:
-        only = columns[0]
-        names = [f"{only}_{suffix}", f"{only}_api"]
-        replies = good.toDF("_text_key", *names)
-        digest = text_key(cell_text(F.col(f"`{only}`"), null_policy))
-        # A null cell matches nothing; a key of its own keeps nulls off one task.
-        alone = F.concat(F.lit("null:"), F.xxhash64(*key).cast("string"))
-        base = df if preserve else df.select(*dict.fromkeys([*key, only]))
-        keyed = base.withColumn("_text_key", F.coalesce(digest, alone))
-        joined = salted_join(keyed, replies, "_text_key", key, hot).drop("_text_key")
-        kept = base.columns if preserve else key
-        return joined.select(*[F.col(f"`{c}`") for c in [*kept, *names]])
-    cells = unpivot_cells(df, key, list(columns), null_policy).where(F.col("text").isNotNull())
-    keyed = cells.select(*key, "column", text_key(F.col("text")).alias("text_key"))
-    translated = salted_join(keyed, good, "text_key", [*key, "column"], hot, "inner")
-    wide = pivot_cells(translated, key, list(columns), suffix)
-    return attach_translations(df, wide, key, preserve)
+        replies = good.toDF("_row_key", *names)
+        keyed = keyed.withColumn("_row_key", F.coalesce(digests[0], alone))
+    else:
+        some = F.coalesce(*digests).isNotNull()
+        whole = F.sha2(F.concat_ws(",", *[F.coalesce(d, F.lit("-")) for d in digests]), 256)
+        keyed = keyed.withColumn("_row_key", F.when(some, whole).otherwise(alone))
+        parts = [d.alias(f"d{i}") for i, d in enumerate(digests)]
+        kinds = df.where(some).select(whole.alias("_row_key"), *parts)
+        kinds = kinds.groupBy("_row_key", *[f"d{i}" for i in range(len(columns))]).agg(
+            F.count(F.lit(1)).alias("n_rows"))
+        kinds = materialize(kinds, "row-kinds")
+        cells = F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(f"d{i}").alias("text_key")) for i, c in enumerate(columns)
+        ])
+        cells = kinds.select("_row_key", F.inline(cells)).where(F.col("text_key").isNotNull())
+        translated = salted_join(cells, good, "text_key", ["_row_key", "column"], hot, "inner")
+        replies = pivot_cells(translated, ["_row_key"], columns, suffix)
+        hot = hot_keys(kinds, "_row_key", "n_rows")
+    joined = salted_join(keyed, replies, "_row_key", ["_row_hash"], hot)
+    return joined.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*kept, *names])])
 
 
 def failed_cells(

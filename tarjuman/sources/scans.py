@@ -1,5 +1,6 @@
 """Table scans: files of five formats, mixed folders, mirrored datasets."""
 
+import re
 from functools import reduce
 from urllib.parse import unquote
 
@@ -202,9 +203,13 @@ def scan_jsonl(
 
 
 def scan_parquet(
-    spark: SparkSession, path: str | list[str], schema: StructType | None = None
+    spark: SparkSession, path: str | list[str], schema: StructType | None = None,
+    base: str | None = None,
 ) -> DataFrame:
+    """Parquet files; folders ``name=value`` below ``base`` give columns."""
     reader = spark.read.schema(schema) if schema else spark.read
+    if base:
+        reader = reader.option("basePath", base)
     return reader.parquet(*_as_list(path))
 
 
@@ -214,6 +219,9 @@ _SCANS = {
 }
 
 
+_PARTITION = re.compile(r"/[^/=]+=[^/]*/")
+
+
 def scan_files(
     spark: SparkSession,
     path: str | list[str],
@@ -235,7 +243,12 @@ def scan_files(
         groups.setdefault(row["kind"], []).append(row["path"])
     if not groups:
         raise ValueError(f"No files below {path}")
-    parts = [_SCANS[kind](spark, sorted(files), schema) for kind, files in sorted(groups.items())]
+    parts = []
+    for kind, files in sorted(groups.items()):
+        below = isinstance(path, str) and any(
+            _PARTITION.search(f.partition(path.rstrip("/"))[2]) for f in files)
+        more = {"base": path} if below and kind == "parquet" else {}
+        parts.append(_SCANS[kind](spark, sorted(files), schema, **more))
     return _union(_reconcile(parts))
 
 
@@ -257,9 +270,14 @@ def _reconcile(parts: list[DataFrame]) -> list[DataFrame]:
 def scan_split(
     spark: SparkSession, root: str, name: str, split: str = "train", subset: str | None = None
 ) -> DataFrame:
-    """A split mirrored as ``root/name/[subset/]split*.parquet``, files or folders."""
+    """A split mirrored below ``root/name/[subset/]`` as a folder ``split``, as
+    ``split.parquet`` or as ``split-NNNNN-of-NNNNN.parquet``; no other split is read."""
     folder = "/".join(p for p in (root.rstrip("/"), name, subset) if p)
-    return spark.read.option("pathGlobFilter", "*.parquet").parquet(f"{folder}/{split}*")
+    forms = ["", ".parquet", "-[0-9]*-of-[0-9]*.parquet"]
+    found = [p for p in (f"{folder}/{split}{form}" for form in forms) if path_exists(spark, p)]
+    if not found:
+        raise FileNotFoundError(f"No split {split} in {folder}")
+    return spark.read.option("pathGlobFilter", "*.parquet").parquet(*found)
 
 
 def scan_archive(

@@ -1,5 +1,7 @@
 """Known inputs with their expected outputs."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,11 +127,16 @@ def test_keep_columns_order_and_duplicates(spark):
     assert kept.columns == ["x_ar", "id", "x_api"]
 
 
-def test_limit_by_position_equals_ordered_limit(spark, monkeypatch):
-    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"), F.lit("v").alias("v"))
-    expected = sorted(r["k"] for r in shape.limit_rows(df, "k", 37).collect())
-    monkeypatch.setattr(shape, "LIMIT_IN_ONE_TASK", 10)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    assert sorted(r["k"] for r in shape.limit_rows(df, "k", 37).collect()) == expected
-    assert shape.limit_rows(df, "k", 5000).count() == 1000
-    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+def test_limit_takes_exactly_n_rows(spark):
+    rows = [(k, v) for k in (1, 2, 2, 2, 3, None) for v in ("b", "a", "a", None)]
+    df = spark.createDataFrame(rows, "k int, v string").repartition(3)
+    order = sorted((-1 if k is None else k) for k, _ in rows)
+    for n in (0, 1, 3, 4, 7, 9, 11, 12, 23, 24, 25):
+        got = shape.limit_rows(df, "k", n).collect()
+        assert sorted(-1 if r["k"] is None else r["k"] for r in got) == order[:n]
+        assert not Counter(map(tuple, got)) - Counter(rows)
+    same = spark.range(1000).select(F.lit(1).alias("k"), F.lit("v").alias("v"))
+    assert shape.limit_rows(same, ["k"], 370).count() == 370
+    assert [tuple(r) for r in shape.limit_rows(df.where("k = 3"), ["k", "v"], 2).sort("v").collect()] == [(3, None), (3, "a")]
+
+

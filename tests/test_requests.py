@@ -44,17 +44,18 @@ CASES = [
 
 
 def test_response_outcomes(spark):
-    asked = [(f"{api}-{i}", api) for api in ("fanar", "nvidia") for i in range(len(CASES) + 1)]
+    asked = [(str(i), api) for api in ("fanar", "nvidia") for i in range(len(CASES) + 1)]
     answered = [
-        (f"{api}-{i}", body, error) for api in ("fanar", "nvidia")
+        (str(i), api, body, error) for api in ("fanar", "nvidia")
         for i, (body, error, _, _) in enumerate(CASES)
     ]
     got = requests.parse_responses(
         spark.createDataFrame(asked, "request_id string, api string"),
-        spark.createDataFrame(answered, "request_id string, body string, error string"),
+        spark.createDataFrame(answered, "request_id string, api string, body string, error string"),
     )
-    outcome = {r["request_id"]: (r["success"], r["translation"], r["error"]) for r in got.collect()}
-    assert len(outcome) == len(asked)
+    rows = got.collect()
+    outcome = {f"{r['api']}-{r['request_id']}": (r["success"], r["translation"], r["error"]) for r in rows}
+    assert len(rows) == len(outcome) == len(asked)
     for i, (_, _, strict, lenient) in enumerate(CASES):
         assert outcome[f"fanar-{i}"] == strict
         assert outcome[f"nvidia-{i}"] == lenient

@@ -1,6 +1,7 @@
 """Whole runs against a cell-by-cell simulation, with failures, resume and skew."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -326,3 +327,31 @@ def test_bad_columns_are_refused(cells):
     for columns, key in ((["nope"], ["id"]), (["body"], ["nope"]), ([], ["id"]), (["body"], [])):
         with pytest.raises(ValueError):
             translate(df, columns, [transliterator("p")], key)
+
+
+def test_null_and_repeated_keys_keep_their_own_translations(spark):
+    rows = [(1, "hello there", "wide world"), (1, "good day", "bad luck"), (None, "hello there", None),
+            (None, None, None), (2, None, "bad luck"), (2, "hello there", "wide world")]
+    df = spark.createDataFrame(rows, "k int, a string, b string")
+    got = translate_table(df, ["a", "b"], [transliterator("p")], ["k"])
+    single = {c: {r[c]: r[f"{c}_ar"] for r in translate_table(
+        df.select("k", c).distinct(), [c], [transliterator("p")], ["k"]).collect()} for c in "ab"}
+    want = [(*r, single["a"][r[1]], single["b"][r[2]]) for r in rows]
+    assert sorted(map(repr, want)) == sorted(
+        repr(tuple(r)) for r in got.select("k", "a", "b", "a_ar", "b_ar").collect())
+    assert single["a"]["hello there"] and single["b"]["bad luck"]
+
+
+def _timed_client():
+    return lambda text: f"{time.time()}"
+
+
+def test_the_limit_holds_over_rounds_and_lanes(spark):
+    provider = CallProvider("p", _timed_client, per_minute=5, lanes=2, window=2)
+    prompts = spark.createDataFrame([(f"t{i}",) for i in range(7)], "prompt string")
+    times = []
+    for attempt in (1, 2):
+        times += [float(r["translation"]) for r in provider.answer(prompts, attempt).collect()]
+    times.sort()
+    assert len(times) == 14
+    assert all(later - first > 1.9 for first, later in zip(times, times[5:]))
