@@ -1,5 +1,7 @@
 """What the operators of this subpackage share."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,23 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8MB")
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int, size: str):
+    """Bound Arrow batches by rows and bytes for the actions inside; the caller's settings come back."""
+    wanted = {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
+        "spark.sql.execution.arrow.maxBytesPerBatch": size,
+    }
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def text_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     """Columns that stand for a row: its id (null-safe) and a fingerprint of its text.
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarjuman.llm import decontaminate, jaccard, language, lines, mixing, pseudonyms, quality, tokens, toxicity, urls
+from tarjuman.llm import conversations, decontaminate, jaccard, language, lines, mixing, pseudonyms, quality, tokens, toxicity, urls
 from tarjuman.llm.common import documents
 from tarjuman.workspace import new_folder
 
@@ -169,3 +169,90 @@ SAMPLE_KEY = "sample key, not a secret"
 @query("op7_pii")
 def op7_pii(spark, sf_dir):
     return pseudonyms.pseudonymize(documents(spark, sf_dir).select("doc_id", "text"), SAMPLE_KEY)
+
+
+def _crc32(text: str) -> str:
+    """DuckDB SQL for the crc32 of an ASCII string."""
+    byte = "list_reduce(list_prepend(xor(c, b), range(8)), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))"
+    codes = f"[ascii(x)::bigint for x in string_split({text}, '')]"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {codes}), lambda c, b: {byte}), 4294967295)"
+
+
+def _edit(cost: int, letter: str, rest: str, line: str = "''") -> str:
+    """The struct of a row's edit in front of ``rest``; a truncated row that stays costs 1."""
+    stays = " + cut" if letter in "KR" else ""
+    return (f"{{'cost': {cost}{stays} + {rest}.cost, 'audit': '{letter}' || {rest}.audit, "
+            f"'lines': {line} || {rest}.lines}}")
+
+
+def _least(*options: str) -> str:
+    return f"list_sort([{', '.join(options)}])[1]"
+
+
+def _walk(state: int, keeps: dict[str, int], put: str, then: int) -> str:
+    """The least of deleting, keeping (role initial and next state) and giving a role."""
+    own = [_edit(3, "D", f"h{state}")]
+    for initial, after in keeps.items():
+        kept = _edit(0, "K", f"h{after}", "chr(10) || role || ':' || text")
+        own.append(f"case when not gone and role[1] = '{initial}' then {kept} end")
+    given = _edit(2, "R", f"h{then}", f"chr(10) || '{put}:' || text")
+    own.append(f"case when not gone then {given} end")
+    return f"list_sort(list_filter([{', '.join(own)}], lambda x: x is not null))[1]"
+
+
+# A row's cheapest rest, from the last row to the first, per state: 0 nothing said, 1 after
+# the system, 2 after the user, 3 after the assistant; b before, h after inserts.
+@query("op11_conversation_repair", rf"""
+    with recursive raw as (
+        select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+               {_crc32("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as kind
+        from conversations),
+    damaged as (
+        select conv_id, turn, case kind when 4 then 'user' else role end as role,
+               case kind when 1 then '' when 2 then translate(text, '.!?', '') else text end as text
+        from raw, range(case kind when 3 then 2 else 1 end) where kind <> 0),
+    placed as (
+        select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(text)) as i,
+               rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as seen
+        from damaged),
+    faults as (
+        select *, seen = '' as blank,
+               seen <> '' and row_number() over (partition by conv_id, role, text order by i) > 1 as duplicate,
+               not blank and not duplicate and right(seen, 1) not in ('.', '!', '?') as truncated,
+               blank or duplicate as gone, truncated::int as cut,
+               lag(role) over (partition by conv_id order by i) as former
+        from placed),
+    walk as (
+        select conv_id, max(i) + 1 as i, {{'cost': 0, 'audit': '', 'lines': ''}} as h0,
+               {{'cost': 4, 'audit': 'II', 'lines': chr(10) || 'user:' || chr(10) || 'assistant:'}} as h1,
+               {{'cost': 2, 'audit': 'I', 'lines': chr(10) || 'assistant:'}} as h2,
+               {{'cost': 0, 'audit': '', 'lines': ''}} as h3
+        from placed group by conv_id
+        union all
+        select conv_id, i, {_least("b0", _edit(2, "I", "h2", "chr(10) || 'user:'"))},
+               {_least("b1", _edit(2, "I", "h2", "chr(10) || 'user:'"))}, h2, h3
+        from (
+            select conv_id, i, b0, b1, {_least("b2", _edit(2, "I", "b3", "chr(10) || 'assistant:'"))} as h2,
+                   {_least("b3", _edit(2, "I", "b2", "chr(10) || 'user:'"))} as h3
+            from (
+                select f.conv_id, f.i, {_walk(0, {"s": 1, "u": 2}, "user", 2)} as b0,
+                       {_walk(1, {"u": 2}, "user", 2)} as b1, {_walk(2, {"a": 3}, "assistant", 3)} as b2,
+                       {_walk(3, {"u": 2}, "user", 2)} as b3
+                from walk w join faults f on f.conv_id is not distinct from w.conv_id and f.i = w.i - 1))),
+    counted as (
+        select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+               count_if(blank)::bigint as blank, count_if(duplicate)::bigint as duplicate,
+               count_if(truncated)::bigint as truncated,
+               count_if(former is not null and former[1] || role[1] not in ('su', 'ua', 'au'))::bigint as illegal
+        from faults group by conv_id)
+    select o.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank,
+           coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated,
+           coalesce(illegal, 0)::bigint as illegal, coalesce(h0.cost, 0)::bigint as cost,
+           coalesce(h0.audit, '') as audit, sha256(coalesce(substr(h0.lines, 2), '')) as repaired_sha256
+    from (select distinct conv_id from conversations) o
+    left join counted c on c.conv_id is not distinct from o.conv_id
+    left join walk w on w.conv_id is not distinct from o.conv_id and w.i = 1""")
+def op11_conversation_repair(spark, sf_dir):
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    damaged, lost = conversations.damage(turns)
+    return conversations.audit(damaged, lost)
