@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarjuman.llm import conversations, decontaminate, jaccard, language, lines, mixing, pseudonyms, quality, tokens, toxicity, urls
+from tarjuman.llm import conversations, decontaminate, jaccard, language, lines, mixing, pseudonyms, quality, sharding, tokens, toxicity, urls, whitening
 from tarjuman.llm.common import documents
 from tarjuman.workspace import new_folder
 
@@ -256,3 +256,33 @@ def op11_conversation_repair(spark, sf_dir):
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     damaged, lost = conversations.damage(turns)
     return conversations.audit(damaged, lost)
+
+
+#: Number of shards of the registered query.
+SHARDS = 8
+
+
+@query("op12_sharding")
+def op12_sharding(spark, sf_dir):
+    placed = sharding.place_rows(documents(spark, sf_dir).select("doc_id", "text"), SHARDS)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+#: Number of components of the registered query.
+COMPONENTS = 4
+
+
+@query("op13_whitening")
+def op13_whitening(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    model = whitening.fit(vectors, components=COMPONENTS)
+    rows, deviation, whitened = whitening.whiten(vectors, model)
+    shares = F.array(*[F.lit(float(v) / model.trace) for v in model.values], F.lit(None).cast("double"))
+    return rows.select("vec_id", deviation, F.posexplode(whitened).alias("place", "whitened")).select(
+        "vec_id", (F.col("place") + 1).cast("int").alias("component"), F.lit(model.n).cast("long").alias("n"),
+        F.col(deviation).try_cast("long").alias("deviation"), "whitened",
+        F.get(shares, F.col("place")).alias("explained"), F.lit(model.identity_error).alias("identity_error"),
+    )
