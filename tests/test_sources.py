@@ -66,6 +66,80 @@ def test_only_files_with_open_quotes_are_read_whole(spark, tmp_path):
     assert rows(scans.scan_csv(spark, str(tmp_path)), "id", "t") == [(1, 'x "y" z'), (2, "x\ny")]
 
 
+def test_headers_in_any_order_and_of_any_length(spark, tmp_path):
+    (tmp_path / "deep").mkdir()
+    for i in range(3):
+        (tmp_path / f"a{i}.csv").write_text(f"id,t,v\n{i},t{i},{i}.5\n")
+    (tmp_path / "b.csv").write_text("v,id,t\n9.5,9,t9\n")
+    (tmp_path / "deep/c é.csv").write_text('t,"more, ""x""",id\n"t,8",m,8\n')
+    (tmp_path / "d.csv").write_bytes("größe,id\n1,7\n".encode("latin-1"))
+    df = scans.scan_csv(spark, str(tmp_path))
+    assert dict(df.dtypes) == {"id": "bigint", "t": "string", "v": "double", 'more, "x"': "string", "größe": "bigint"}
+    assert rows(df, "id", "t", "v", "`more, \"x\"`", "größe") == [
+        (0, "t0", 0.5, None, None), (1, "t1", 1.5, None, None), (2, "t2", 2.5, None, None),
+        (7, None, None, None, 1), (8, "t,8", None, "m", None), (9, "t9", 9.5, None, None)]
+
+
+def test_most_files_are_not_listed(spark, tmp_path):
+    for i in range(4):
+        (tmp_path / f"a{i}.csv").write_text(f"id,t\n{i},x\n")
+    (tmp_path / "z.csv").write_text("t,id\nx,4\n")
+    files = scans.Files.of(str(tmp_path))
+    profile = scans.csv_profile(spark, files)
+    (_, most), (_, other) = scans._alike(profile, ["header"], files)
+    assert most.paths == files.paths and len(most.without) == 1 and len(other.paths) == 1
+
+
+@pytest.mark.parametrize("line, names", [
+    ("a,b", ["a", "b"]), ('"a ""q""",b', ['a "q"', "b"]), ("a,,A", ["a0", "_c1", "A2"]), ('"a', None), ("\ufeffid,t", ["id", "t"]),
+])
+def test_header_names(line, names):
+    assert scans.header_names(line, ",") == names
+
+
+def test_a_quoted_newline_in_a_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,"two\nlines"\n1,x\n')
+    (tmp_path / "b.csv").write_text("id,t\n2,y\n")
+    df = scans.scan_csv(spark, str(tmp_path))
+    assert set(df.columns) == {"id", "two\nlines", "t"} and rows(df, "id", "t") == [(1, None), (2, "y")]
+
+
+@pytest.mark.parametrize("ending, body", [
+    ("csv", "id\n{0}\n"), ("tsv", "id\n{0}\n"), ("jsonl", '{{"id": {0}}}\n'), ("json", '[\n{{"id": {0}}}\n]'),
+])
+def test_partition_folders_of_any_format(spark, tmp_path, ending, body):
+    places = [("en", 2023), ("a b/ü+%", 2024), (None, 2024)]
+    for i, (lang, year) in enumerate(places):
+        name = "__HIVE_DEFAULT_PARTITION__" if lang is None else lang.replace("%", "%25").replace("/", "%2F")
+        folder = tmp_path / "of=root" / f"lang={name}" / f"year={year}"
+        folder.mkdir(parents=True)
+        (folder / f"x.{ending}").write_text(body.format(i))
+    df = scans.scan_files(spark, str(tmp_path / "of=root"))
+    assert dict(df.dtypes) == {"id": "bigint", "lang": "string", "year": "int"}
+    got = {r["id"]: (r["lang"], r["year"]) for r in df.collect()}
+    assert got == {i: place for i, place in enumerate(places)}
+    assert dict(scans.scan_files(spark, str(tmp_path / "of=root"), ending).dtypes) == dict(df.dtypes)
+
+
+def test_partition_folders_of_mixed_formats(spark, tmp_path):
+    spark.createDataFrame([(1, "en"), (2, "de")], "id long, lang string").write.partitionBy("lang").parquet(str(tmp_path / "t"))
+    (tmp_path / "t/lang=en/more.jsonl").write_text('{"id": 3}\n')
+    (tmp_path / "t/lang=fr").mkdir()
+    (tmp_path / "t/lang=fr/x.csv").write_text("id\n4\n")
+    (tmp_path / "t/x.csv").write_text("id\n5\n")
+    (tmp_path / "t/y.csv").write_text("lang,id\nes,6\n")
+    df = scans.scan_files(spark, str(tmp_path / "t"))
+    assert rows(df, "id", "lang") == [(1, "en"), (2, "de"), (3, "en"), (4, "fr"), (5, None), (6, "es")]
+
+
+def test_split_names(spark, tmp_path):
+    folder = tmp_path / "user" / "set"
+    folder.mkdir(parents=True)
+    for i, name in enumerate(["train.parquet", "train-0.parquet", "train-00001-of-00002.parquet", "trainer.parquet", "train-x.parquet"]):
+        pd.DataFrame({"id": [i]}).to_parquet(folder / name)
+    assert rows(scans.scan_split(spark, str(tmp_path), "user/set"), "id") == [(0,), (1,), (2,)]
+
+
 def test_header_only_and_empty_files(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,t\n")
     assert scans.scan_csv(spark, str(tmp_path / "a.csv")).columns == ["id", "t"]
