@@ -7,6 +7,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tarjuman import fixed
+from tarjuman.functions.term_search import fold, searched_terms
+
+#: From how many terms on one automaton is cheaper than a pattern per term.
+LONGEST_CHAIN = 64
 
 
 def strip_control(text: Column) -> Column:
@@ -38,7 +42,7 @@ def clean_text(text: Column) -> Column:
 def ordered_terms(custom: Mapping[str, str] | None = None) -> list[tuple[str, str]]:
     """Default terms overridden by ``custom``, longest first, ties in insertion order."""
     terms = {**fixed.TERM_REPLACEMENTS, **(custom or {})}
-    return sorted(terms.items(), key=lambda item: -len(item[0]))
+    return sorted(((t, r) for t, r in terms.items() if t), key=lambda item: -len(item[0]))
 
 
 # Word boundaries spelled out: what java.util.regex counts as a word changes with
@@ -56,7 +60,7 @@ def _starts(words: Iterable[str]) -> str:
     Testing one character against a small set is what makes the patterns below
     cheap at the positions where nothing matches.
     """
-    first = {word[0].lower() for word in words}
+    first = {fold(word[0]) for word in words}
     if not all(c.isascii() for c in first):
         return ""
     chars = "".join(fixed.FOLDED.get(c, c + c.upper() if c.isalpha() else c) for c in sorted(first))
@@ -66,7 +70,7 @@ def _starts(words: Iterable[str]) -> str:
 def _guard(terms: list[tuple[str, str]]) -> str:
     """A pattern that finds something wherever some term matches, whole word or not."""
     words: list[str] = []
-    for word in sorted({term.lower() for term, _ in terms}, key=len):
+    for word in sorted({fold(term) for term, _ in terms}, key=len):
         if not any(known in word for known in words):
             words.append(word)
     return f"{_starts(words)}(?iu:{'|'.join(re.escape(word) for word in words)})"
@@ -86,9 +90,17 @@ def normalize_terms(text: Column, custom: Mapping[str, str] | None = None) -> Co
     """Replace provider terms, as whole words and in any case.
 
     Replacements run one after the other, so a later term sees earlier output.
-    The chain sits behind one cheap search: most cells hold no term at all.
+    The chain sits behind one cheap search: most cells hold no term at all. A long
+    list of terms is searched for by one automaton instead.
     """
     terms = ordered_terms(custom)
+    if len(terms) > LONGEST_CHAIN:
+        return searched_terms(text, terms)
+    return chained_terms(text, terms)
+
+
+def chained_terms(text: Column, terms: list[tuple[str, str]]) -> Column:
+    """One pattern per term, in order."""
     replaced = text
     for term, replacement in terms:
         literal = replacement.replace("\\", "\\\\").replace("$", "\\$")

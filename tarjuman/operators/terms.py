@@ -1,5 +1,7 @@
 """Term mappings kept as tables."""
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +34,14 @@ def merge_terms(base: DataFrame, custom: DataFrame) -> DataFrame:
 def terms_as_mapping(terms: DataFrame) -> dict[str, str]:
     """A term table as the mapping the text functions take, in rank order.
 
-    A mapping is a setting that becomes one expression per term, so it is held here whole.
+    A mapping is a setting that every worker holds, so it is held here whole.
     """
     rows = terms.select("term", "replacement", "rank").collect()
     return {row["term"]: row["replacement"] for row in sorted(rows, key=lambda r: r["rank"])}
+
+
+def as_mapping(custom: Mapping[str, str] | DataFrame | None) -> Mapping[str, str] | None:
+    """Custom terms as a mapping; a table of them is merged with the defaults first."""
+    if not isinstance(custom, DataFrame):
+        return custom
+    return terms_as_mapping(merge_terms(default_terms(custom.sparkSession), custom))
