@@ -31,6 +31,7 @@ MAX_RETRIES = 3
 BACKOFF_MULTIPLIER = 2
 REQUESTS_PER_MINUTE = 40
 RATE_WINDOW_SECONDS = 60
+REQUEST_TIMEOUT_SECONDS = 30
 EXHAUSTED = "All API attempts exhausted"
 EMPTY_REPLY = "API returned None"
 

@@ -1,28 +1,22 @@
 """Translation providers: how a table of prompts gets its replies.
 
 A provider adds ``success``, ``translation`` and ``error`` to a table holding
-``prompt``. Only :class:`CallProvider` runs Python code, in Arrow batches.
+``prompt``. Only :class:`CallProvider` runs Python code, in Arrow batches; see ``calls``.
 """
 
-import time
-from collections import deque
-from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass
 
-import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
-from tarjuman import fixed
+from tarjuman.operators.calls import REPLY_FIELDS, CallProvider
 from tarjuman.operators.skew import hot_keys, salted_join
 
-REPLY_FIELDS = (
-    StructField("success", BooleanType()),
-    StructField("translation", StringType()),
-    StructField("error", StringType()),
-)
+__all__ = [
+    "REPLY_FIELDS", "CallProvider", "ColumnProvider", "MemoryProvider", "transliterated",
+    "transliterating_client", "transliterating_lists", "transliterator",
+]
 
 
 @dataclass(frozen=True)
@@ -81,88 +75,6 @@ class MemoryProvider:
         )
 
 
-class Pace:
-    """Admits at most ``limit`` calls of one task in any ``window`` seconds."""
-
-    def __init__(self, limit: int, window: float, not_before: float = 0.0):
-        self.window, self.not_before = window, not_before
-        self.starts: deque[float] = deque(maxlen=limit)
-
-    def wait(self) -> None:
-        time.sleep(max(0.0, self.not_before - time.time()))
-        if len(self.starts) == self.starts.maxlen:
-            time.sleep(max(0.0, self.starts[0] + self.window - time.monotonic()))
-        self.starts.append(time.monotonic())
-
-
-@dataclass(frozen=True)
-class CallProvider:
-    """Replies from a Python client, opened once per partition.
-
-    ``connect`` returns a function from a text to a reply: a translation, or a
-    mapping with ``success``, ``translation`` and ``error``. An exception counts
-    as an error of that text only.
-
-    With ``per_minute`` set, prompts go to ``lanes`` tasks, each allowed an even
-    share, so tasks together keep the limit without talking to each other. Rounds and
-    batches run one after another; each but the first waits for a window to pass, as the
-    one before it may have spent its share to the end. A restarted task starts a new
-    share; turn speculation off for strict limits.
-    """
-
-    name: str
-    connect: Callable[[], Callable[[str], object]]
-    per_minute: int | None = None
-    lanes: int = 1
-    window: float = fixed.RATE_WINDOW_SECONDS
-    remote: bool = True
-    asked: list[float] = field(default_factory=list, compare=False, repr=False)
-
-    def answer(self, prompts: DataFrame, attempt: int = 1) -> DataFrame:
-        lanes = max(1, min(self.lanes, self.per_minute or 1))
-        not_before = 0.0
-        if self.per_minute:
-            prompts = prompts.repartition(lanes, F.xxhash64("prompt"))
-            if self.asked:
-                not_before = time.time() + self.window
-            self.asked[:] = [time.time()]
-        schema = StructType([*prompts.schema.fields, *REPLY_FIELDS])
-        caller = _caller(self.connect, self.per_minute, lanes, self.window, not_before)
-        return prompts.mapInPandas(caller, schema)
-
-
-def _caller(connect, limit: int | None, lanes: int, window: float, not_before: float):
-    def call(batches: Iterator[pd.DataFrame]) -> Iterable[pd.DataFrame]:
-        client = connect()
-        pace = None
-        if limit:
-            # The remainder goes to the first lanes, one call each.
-            more = TaskContext.get().partitionId() < limit % lanes
-            pace = Pace(limit // lanes + more, window, not_before)
-        for batch in batches:
-            replies = [_one(client, text, pace) for text in batch["prompt"]]
-            columns = list(zip(*replies)) or [(), (), ()]
-            yield batch.assign(
-                success=pd.Series(columns[0], index=batch.index, dtype="boolean"),
-                translation=pd.Series(columns[1], index=batch.index, dtype=object),
-                error=pd.Series(columns[2], index=batch.index, dtype=object),
-            )
-
-    return call
-
-
-def _one(client, text: str, pace: Pace | None) -> tuple[bool, str | None, str | None]:
-    if pace:
-        pace.wait()
-    try:
-        reply = client(text)
-    except Exception as problem:
-        return False, None, str(problem)
-    if isinstance(reply, dict):
-        return bool(reply.get("success")), reply.get("translation"), reply.get("error")
-    return True, reply, None
-
-
 # The letters of the deterministic stand-in provider.
 LATIN = "abcdefghijklmnopqrstuvwxyz"
 LETTERS = "ابتثجحخدذرزسشصضطظعغفقكلمنه"
@@ -181,3 +93,9 @@ def transliterating_client() -> Callable[[str], str]:
     """The same stand-in as a Python client."""
     table = str.maketrans(LATIN, LETTERS)
     return lambda text: text.lower().translate(table)
+
+
+def transliterating_lists() -> Callable[[list[str]], list[str]]:
+    """The same stand-in as a client that takes lists."""
+    one = transliterating_client()
+    return lambda texts: [one(text) for text in texts]

@@ -7,7 +7,6 @@ import pytest
 
 from tarjuman.operators import rate
 from tarjuman.operators.ordered import sorted_runs
-from tarjuman.operators.providers import Pace
 
 SECOND = 1_000_000
 
@@ -82,13 +81,3 @@ def test_admission_follows_the_recurrence(calls, log):
             start = at if len(starts) < limit else max(at, starts[0] + window * SECOND)
             starts.append(start)
             assert got[i] == start
-
-
-def test_pace_keeps_its_share():
-    import time
-    pace, start, admitted = Pace(2, 0.2), time.monotonic(), []
-    for _ in range(6):
-        pace.wait()
-        admitted.append(time.monotonic() - start)
-    assert all(b - a >= 0.199 for a, b in zip(admitted, admitted[2:]))
-    assert admitted[1] < 0.1
