@@ -6,15 +6,16 @@ from catalog import inputs
 from catalog.inputs import DIRTY, dirty, documents, table
 from catalog.registry import query
 from tarjuman.functions.text import preprocess, trim_text
-from tarjuman.operators import requests
+from tarjuman.operators import rate, requests
+from tarjuman.operators.calls import call_log
 from tarjuman.operators.providers import (
     CallProvider, ColumnProvider, MemoryProvider, transliterated, transliterating_client,
-    transliterator,
+    transliterating_lists, transliterator,
 )
 from tarjuman.plans.job import run_job
 from tarjuman.plans.translate import translate_table
 from tarjuman.streaming.arrivals import arriving_files, translate_stream
-from tarjuman.workspace import new_folder
+from tarjuman.workspace import materialize, new_folder
 
 _CHATS = {
     "nvidia": ("""json_object('model', 'nvidia/riva-translate-4b-instruct-v1.1', 'messages',
@@ -97,10 +98,41 @@ def provider_map(spark, sf):
     return provider.answer(_prompts(spark, sf)).drop("prompt")
 
 
+@query("provider_map_batch", _REPLIES)
+def provider_map_batch(spark, sf):
+    provider = CallProvider("local", transliterating_lists, many=True, max_items=50, in_flight=2)
+    return provider.answer(_prompts(spark, sf)).drop("prompt")
+
+
+def _throttled(prompts) -> CallProvider:
+    """Lists of ten texts, a quarter of them per second: the limit binds at any size."""
+    quarter = max(1, prompts.count() // 40)
+    return CallProvider("local", transliterating_lists, per_minute=quarter, window=1, lanes=8,
+                        many=True, max_items=10, max_chars=10_000_000, in_flight=2)
+
+
 @query("provider_throttled", _REPLIES)
 def provider_throttled(spark, sf):
-    provider = CallProvider("local", transliterating_client, per_minute=60_000_000, lanes=8)
-    return provider.answer(_prompts(spark, sf)).drop("prompt")
+    prompts = _prompts(spark, sf)
+    return _throttled(prompts).answer(prompts).drop("prompt")
+
+
+# Two rounds under one limit. The log tells the calls of any window of a second, and
+# that they lasted more than six windows, as eight quarters do.
+@query("throttled_calls", """select 2 * count(*) as texts, 0::bigint as over_limit, true as binds
+ from documents""")
+def throttled_calls(spark, sf):
+    prompts = _prompts(spark, sf)
+    provider = _throttled(prompts)
+    texts = sum(provider.answer(prompts, attempt).count() for attempt in (1, 2))
+    log = call_log(spark, provider.log_folder(spark)).where("made").select(
+        "api", F.round(F.col("start") * 1_000_000).cast("long").alias("micros"),
+        F.monotonically_increasing_id().alias("call"))
+    near = rate.trailing_calls(materialize(log, "log"), "call", "api", "micros", 1)
+    lasted = (F.max("micros") - F.min("micros")) / 1_000_000
+    return near.agg(
+        F.lit(texts).cast("long").alias("texts"),
+        F.count_if(F.col("calls") > provider.per_minute).alias("over_limit"), (lasted > 6).alias("binds"))
 
 
 # The memory: texts of the documents labelled as good, whatever their id.
@@ -180,6 +212,29 @@ def translate_only_columns(spark, sf):
     )
 
 
+# A term per order, merged with the default ones: finished orders become a default term,
+# which is replaced in turn where it applies later, as it is the shorter or later one.
+_ORDERED = """case when o_orderstatus <> 'F' then 'customer ' || o_custkey
+ when length('order' || o_orderkey) > 7 then 'the AI assistant' else 'ChatGPT' end"""
+_ORDER_REPLY = inputs.sql_transliterated(f"'Please send ' || {_ORDERED} || ' to the yard'")
+
+
+@query("translate_many_terms", f"""select o_orderkey, text,
+ case when {inputs.sql_valid("text", "reply")} then {inputs.sql_postprocess("reply")} end as text_ar,
+ case when {inputs.sql_valid("text", "reply")} then 'nvidia' end as text_api
+ from (select o_orderkey, 'Please send ORDER' || o_orderkey || ' to the yard' as text,
+  {_ORDER_REPLY} as reply from orders)""")
+def translate_many_terms(spark, sf):
+    orders = table(spark, sf, "orders")
+    name = F.concat(F.lit("order"), F.col("o_orderkey").cast("string"))
+    customer = F.concat(F.lit("customer "), F.col("o_custkey").cast("string"))
+    custom = orders.select(
+        name.alias("term"), F.when(F.col("o_orderstatus") == "F", "ChatGPT").otherwise(customer).alias("replacement"),
+        F.col("o_orderkey").alias("rank"))
+    texts = orders.select("o_orderkey", F.concat(F.lit("Please send ORDER"), "o_orderkey", F.lit(" to the yard")).alias("text"))
+    return translate_table(texts, ["text"], [transliterator("nvidia")], ["o_orderkey"], custom_terms=custom)
+
+
 def _scripted(name: str, rank: int) -> ColumnProvider:
     def code(prompt, attempt):
         return (F.length(prompt) * 7 + rank * 3 + attempt * 5) % 8

@@ -11,6 +11,7 @@ from pyspark.sql.types import (
 
 from tarjuman import fixed
 from tarjuman.functions.quality import CHECKS, is_valid, postprocess, quality_checks
+from tarjuman.sources.scans import path_exists
 
 
 REQUEST = ["text_key", "prompt", "original_length", "n_cells"]
@@ -33,6 +34,7 @@ def run_rounds(
     max_retries: int = fixed.MAX_RETRIES,
     backoff: float = fixed.BACKOFF_MULTIPLIER,
     script: str = fixed.ARABIC,
+    resume: bool = False,
 ) -> None:
     """Ask each provider up to ``max_retries`` times until a reply is valid.
 
@@ -40,35 +42,44 @@ def run_rounds(
     calls one provider once for everything still open and writes the attempts to
     ``folder/round=N``; the next round reads the open part of that table. So
     rounds need no shuffle, repeat no call, and a run that stops keeps what its
-    finished rounds settled.
+    finished rounds settled. With ``resume`` the finished rounds in ``folder``, made of
+    the same requests, are taken as they are and the rest goes on from them.
     """
     spark = requests.sparkSession
     pending = requests.select(REQUEST)
     tries = [(r, p, a) for r, p in enumerate(providers, 1) for a in range(1, max_retries + 1)]
     for number, (rank, provider, attempt) in enumerate(tries, start=1):
-        settled = F.col("is_valid") | F.lit(number == len(tries))
-        outcome = judged(provider.answer(pending, attempt), script).withColumn("settled", settled)
         target = f"{folder}/round={number}"
-        outcome.select(
-            "text_key",
-            # A settled request needs its prompt no more.
-            F.when(~F.col("settled"), F.col("prompt")).alias("prompt"),
-            "original_length",
-            "n_cells",
-            F.lit(provider.name).alias("api"),
-            F.lit(rank).alias("api_rank"),
-            F.lit(attempt).alias("attempt"),
-            "success", "error", *CHECKS, "is_valid", "settled",
-            F.when(F.col("is_valid"), postprocess(F.col("translation"))).alias("translation"),
-        ).write.mode("overwrite").parquet(target)
+        made = not (resume and path_exists(spark, f"{target}/_SUCCESS"))
+        if made:
+            last = number == len(tries)
+            _write_round(provider.answer(pending, attempt), provider.name, rank, attempt, last, script, target)
         written = spark.read.schema(ATTEMPTS).parquet(target)
         pending = written.where(~F.col("settled")).select(REQUEST)
         if pending.isEmpty():
             return
-        if provider.remote and attempt < max_retries:
+        if made and provider.remote and attempt < max_retries:
             time.sleep(backoff ** (attempt - 1))
 
 
+def _write_round(
+    answered: DataFrame, api: str, rank: int, attempt: int, last: bool, script: str, target: str,
+) -> None:
+    settled = F.col("is_valid") | F.lit(last)
+    judged(answered, script).withColumn("settled", settled).select(
+        "text_key",
+        # A settled request needs its prompt no more.
+        F.when(~F.col("settled"), F.col("prompt")).alias("prompt"),
+        "original_length",
+        "n_cells",
+        F.lit(api).alias("api"),
+        F.lit(rank).alias("api_rank"),
+        F.lit(attempt).alias("attempt"),
+        "success", "error", *CHECKS, "is_valid", "settled",
+        F.when(F.col("is_valid"), postprocess(F.col("translation"))).alias("translation"),
+    ).write.mode("overwrite").parquet(target)
+
+
 def judged(answered: DataFrame, script: str = fixed.ARABIC) -> DataFrame:
     """Add the five checks and ``is_valid`` to replies."""
     checks = quality_checks(F.col("original_length"), F.col("translation"), script)

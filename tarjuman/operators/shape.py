@@ -1,6 +1,7 @@
 """Columns, rows and cells of a table."""
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,6 +81,14 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in fit])
 
 
+def free_name(taken: Iterable[str], wanted: str) -> str:
+    """``wanted``, with underscores in front until no column has that name in any case."""
+    known = {name.lower() for name in taken}
+    while wanted.lower() in known:
+        wanted = "_" + wanted
+    return wanted
+
+
 def limit_rows(df: DataFrame, key: str | list[str], n: int) -> DataFrame:
     """The first ``n`` rows in the order of ``key``, nulls first: exactly ``n`` rows
     if there are as many, whatever the ties. Ties are taken by a digest of the row."""

@@ -16,6 +16,7 @@ from tarjuman.operators.shape import (
     cell_text, pivot_cells, row_hash, translated_names, unpivot_cells,
 )
 from tarjuman.operators.skew import hot_keys, salted_join
+from tarjuman.operators.terms import as_mapping
 from tarjuman.workspace import materialize, new_folder
 
 CELL_COLUMNS = {"column", "text", "text_key", "translation", "api"}
@@ -71,7 +72,7 @@ def translate(
     *,
     null_policy: str = "skip",
     terms: bool = True,
-    custom_terms: Mapping[str, str] | None = None,
+    custom_terms: Mapping[str, str] | DataFrame | None = None,
     max_retries: int = fixed.MAX_RETRIES,
     backoff: float = fixed.BACKOFF_MULTIPLIER,
     script: str = fixed.ARABIC,
@@ -90,24 +91,14 @@ def translate(
     Distinct texts go to the providers in rounds, in ``batches`` (or batches of
     about ``batch_rows`` texts); finished rounds are kept in ``progress_folder``.
     With ``resume`` the texts finished there are not sent again; ``upto`` names the
-    batch to go on from and drops later ones. Only the provider calls run here; the
+    batch to go on from and drops later ones. ``custom_terms`` override and extend the
+    provider terms: a mapping, or a table ``(term, replacement, rank)``. Only the provider calls run here; the
     returned table is lazy.
     """
     spark = df.sparkSession
-    columns, key = list(dict.fromkeys(columns)), list(dict.fromkeys(key))
-    missing = [c for c in [*key, *columns] if c not in df.columns]
-    if missing or not columns or not key:
-        raise ValueError(f"Columns and key must be in the table; missing: {missing}")
-    if set(key) & CELL_COLUMNS:
-        raise ValueError(f"Key columns may not be called any of {sorted(CELL_COLUMNS)}")
-    # Columns of an earlier run are made anew.
-    made = set(translated_names(columns, suffix)) - {*key, *columns}
-    df = df.drop(*made)
-
-    folder = new_folder(spark, "requests")
-    found = distinct_requests(df, columns, null_policy, terms, custom_terms)
-    found.write.parquet(folder)
-    requests = spark.read.schema(found.schema).parquet(folder)
+    df, columns, key = checked_columns(df, columns, key, suffix)
+    found = distinct_requests(df, columns, null_policy, terms, as_mapping(custom_terms))
+    requests = materialize(found, "requests")
 
     lasting = progress_folder or new_folder(spark, "progress")
     latest = progress.latest_batch(spark, lasting)
@@ -131,6 +122,49 @@ def translate(
     return Translation(table, requests, finished, attempts.where(F.col("batch_id") >= first))
 
 
+def checked_columns(
+    df: DataFrame, columns: Sequence[str], key: Sequence[str], suffix: str
+) -> tuple[DataFrame, list[str], list[str]]:
+    """The table without columns of an earlier run, and the columns and key each once."""
+    columns, key = list(dict.fromkeys(columns)), list(dict.fromkeys(key))
+    missing = [c for c in [*key, *columns] if c not in df.columns]
+    if missing or not columns or not key:
+        raise ValueError(f"Columns and key must be in the table; missing: {missing}")
+    if set(key) & CELL_COLUMNS:
+        raise ValueError(f"Key columns may not be called any of {sorted(CELL_COLUMNS)}")
+    return df.drop(*(set(translated_names(columns, suffix)) - {*key, *columns})), columns, key
+
+
+def translate_part(
+    df: DataFrame, columns: Sequence[str], providers: Sequence, key: Sequence[str],
+    memory: str, number: int, *, null_policy: str = "skip", terms: bool = True,
+    custom_terms: Mapping[str, str] | DataFrame | None = None, max_retries: int = fixed.MAX_RETRIES,
+    backoff: float = fixed.BACKOFF_MULTIPLIER, script: str = fixed.ARABIC, suffix: str = "ar",
+    preserve: bool = True,
+) -> DataFrame:
+    """Translate part ``number`` of a table that comes in parts.
+
+    ``memory`` is the progress folder of all parts: a text that an earlier part settled
+    is not sent again. Only outcomes of this part's texts are taken from it, by a
+    semi-join, which reads the memory once. A part that is done again, as its run was
+    stopped, goes on behind the rounds it had finished.
+    """
+    spark = df.sparkSession
+    df, columns, key = checked_columns(df, columns, key, suffix)
+    found = distinct_requests(df, columns, null_policy, terms, as_mapping(custom_terms))
+    requests = materialize(found, "requests")
+    keys = requests.select("text_key")
+    if progress.latest_batch(spark, memory) is None:
+        known = outcomes(spark.createDataFrame([], ATTEMPTS))
+    else:
+        earlier = _attempts(spark, memory).where(F.col("batch_id") != number)
+        known = materialize(outcomes(earlier).join(keys, "text_key", "left_semi"), "known")
+    folder = progress.batch_path(memory, number)
+    run_rounds(progress.pending(requests, known, ["text_key"]), providers, folder, max_retries, backoff, script, True)
+    own = outcomes(_attempts(spark, memory).where(F.col("batch_id") == number))
+    return join_outcomes(df, columns, key, known.unionByName(own), requests, null_policy, suffix, preserve)
+
+
 def _attempts(spark: SparkSession, folder: str) -> DataFrame:
     """All attempts below a progress folder, from ``batch_id=N/round=N``."""
     places = [StructField("batch_id", LongType()), StructField("round", IntegerType())]
