@@ -8,6 +8,7 @@ from catalog.inputs import table, transliterated
 from catalog.registry import query
 from tarjuman.operators import progress
 from tarjuman.operators.shape import unpivot_cells
+from tarjuman.sources.scans import list_files
 from tarjuman.workspace import new_folder
 
 CELL = ["doc_id", "column"]
@@ -54,13 +55,10 @@ def named_checkpoint(spark, sf):
     return done.select("batch_id", *CELL, "translation", "api")
 
 
-@query("latest_checkpoint", "select max(doc_id * 50) as latest from documents")
+@query("latest_checkpoint", f"""select max(case quality when 1 then 9 else 10 end)::bigint as latest
+ from {_DONE}""")
 def latest_checkpoint(spark, sf):
-    number = (F.col("doc_id") * 50).cast("string")
-    paths = table(spark, sf, "documents").select(
-        F.concat(F.lit("/run/checkpoint_"), number, F.lit(".csv")).alias("path")
-    )
-    return progress.latest_number(paths, "checkpoint_")
+    return progress.latest_number(list_files(spark, _written(spark, sf)))
 
 
 def _cells(spark, sf):

@@ -203,6 +203,36 @@ def job_csv(spark, sf):
     return spark.read.parquet(output)
 
 
+_JUDGED = f"""(select doc_id, {inputs.sql_valid("text", "reply")} as ok
+ from (select doc_id, text, {inputs.sql_transliterated(inputs.sql_preprocess("text"))} as reply from documents))"""
+
+
+_STATS = """total long, successful long, failed long, nvidia_used long, start_time string,
+ end_time string, duration_seconds double, seconds_per_row double,
+ first_failures array<struct<doc_id: string>>"""
+
+
+@query("job_statistics", f"""select count(*) as total, count_if(ok)::bigint as successful,
+ count_if(not ok)::bigint as failed, count_if(ok)::bigint as nvidia_used, true as clock,
+ (select string_agg(doc_id, ',' order by doc_id) from (select doc_id from {_JUDGED} where not ok
+  order by doc_id limit 10)) as first_failed
+ from {_JUDGED}""")
+def job_statistics(spark, sf):
+    folder = new_folder(spark, "job")
+    run_job(spark, {
+        "dataset": {"source": f"{sf}/documents.parquet", "key": "doc_id", "columns_to_translate": ["text"]},
+        "output": {"path": f"{folder}/out.parquet"},
+    }, {"nvidia": transliterator("nvidia")})
+    stats = spark.read.schema(_STATS).json(f"{folder}/out_stats.json")
+    seconds = (F.unix_micros(F.to_timestamp("end_time")) - F.unix_micros(F.to_timestamp("start_time"))) / 1_000_000
+    clock = (
+        (F.col("duration_seconds") > 0) & (F.abs(seconds - F.col("duration_seconds")) < 1e-5)
+        & (F.abs(F.col("seconds_per_row") * F.col("total") - seconds) < 1e-3))
+    return stats.select(
+        "total", "successful", "failed", "nvidia_used", clock.alias("clock"),
+        F.nullif(F.array_join("first_failures.doc_id", ","), F.lit("")).alias("first_failed"))
+
+
 @query("translate_only_columns", f"""select conv_id, turn, {_column_sql("text")}
  from conversations""")
 def translate_only_columns(spark, sf):

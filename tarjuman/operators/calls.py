@@ -13,11 +13,12 @@ it is scheduled anew in the next pass. So any number of tasks, lost ones include
 the limit, if clocks agree to within the slack and speculation is off.
 """
 
+import inspect
 import threading
 import time
-from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass, field
-from functools import reduce
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from dataclasses import dataclass, field, replace
+from functools import partial, reduce
 from queue import SimpleQueue
 
 import pandas as pd
@@ -195,6 +196,21 @@ class CallProvider:
     log: str | None = None
     _own_log: list[str] = field(default_factory=list, compare=False, repr=False)
 
+    def configured(
+        self, per_minute: int | None, timeout: float | None = None, settings: Mapping | None = None,
+        log: str | None = None,
+    ) -> "CallProvider":
+        """The provider with other limits. ``settings`` (model, sampling) go to ``connect``, which
+        must take them; a limit, time limit or log that is not given stays."""
+        connect = self.connect
+        if settings:
+            if not inspect.signature(connect).parameters:
+                raise ValueError(f"The client of '{self.name}' takes no settings: {sorted(settings)}")
+            connect = partial(connect, dict(settings))
+        return replace(
+            self, connect=connect, per_minute=per_minute, timeout=self.timeout if timeout is None else timeout,
+            log=self.log or log)
+
     def answer(self, prompts: DataFrame, attempt: int = 1) -> DataFrame:
         if self.per_minute:
             return self._scheduled(prompts)

@@ -88,8 +88,8 @@ def judged(answered: DataFrame, script: str = fixed.ARABIC) -> DataFrame:
     return checked.withColumn("is_valid", F.coalesce(verdict, F.lit(False)))
 
 
-def outcomes(attempts: DataFrame) -> DataFrame:
-    """One row per settled request: its translation, or why there is none.
+def outcomes(attempts: DataFrame, *more: str) -> DataFrame:
+    """One row per settled request: its translation, or why there is none, and columns of ``more``.
 
     A request is settled by one attempt only, so no shuffle is needed to find it.
     """
@@ -98,6 +98,7 @@ def outcomes(attempts: DataFrame) -> DataFrame:
         "translation",
         F.when(F.col("is_valid"), F.col("api")).alias("api"),
         F.when(~F.col("is_valid"), F.lit(fixed.EXHAUSTED)).alias("error"),
+        *more,
     )
 
 

@@ -10,6 +10,12 @@ from pyspark.sql.types import StringType
 from tarjuman import fixed
 from tarjuman.operators.ordered import Measure, add, running, sorted_runs
 from tarjuman.operators.skew import hot_keys, salted_join
+from tarjuman.workspace import materialize
+
+
+#: Up to so many rows every task keeps its first ones, instead of a search for the cut.
+MOST_PREVIEWED = 10_000
+SKETCH_STEPS, SKETCH_ACCURACY = 200, 10_000
 
 
 def spread(df: DataFrame, key: list[str]) -> DataFrame:
@@ -115,17 +121,78 @@ def limit_rows(df: DataFrame, key: str | list[str], n: int) -> DataFrame:
 def _cut(places: DataFrame, n: int) -> tuple[Column, int, int] | None:
     """The place of the ``n``-th row, the number of rows before that place and up to it.
 
-    Equal places are counted before the shuffle, so a tie of any size is one row.
+    A preview keeps the first rows of each task. For more rows, a quantile sketch finds
+    a range that holds the cut, so that only the rows in it are sorted.
     """
+    if n <= MOST_PREVIEWED:
+        first = materialize(places.orderBy("place").limit(n), "first")
+        last, rows = first.agg(F.max("place"), F.count(F.lit(1))).first()
+        if rows < n:
+            return None
+        bound = _literal(places, last)
+        before = first.where(F.col("place") < bound).count()
+        return bound, before, before + places.where(F.col("place").eqNullSafe(bound)).count()
+    near = _near(places, n)
+    if near is not None:
+        within, before = near
+        found = _exact_cut(places.where(within), n - before)
+        if found is not None:
+            bound, earlier, upto = found
+            return bound, before + earlier, before + upto
+    return _exact_cut(places, n)
+
+
+def _near(places: DataFrame, n: int) -> tuple[Column, int] | None:
+    """A condition that holds around the ``n``-th row, and how many rows lie before those it holds for."""
+    value = _as_number(F.col("place.k0"), places.schema["place"].dataType.fields[0].dataType.simpleString())
+    if value is None:
+        return None
+    steps = [i / SKETCH_STEPS for i in range(SKETCH_STEPS + 1)]
+    rows, known, grid = places.agg(
+        F.count(F.lit(1)), F.count(value), F.percentile_approx(value, steps, SKETCH_ACCURACY)).first()
+    nulls = rows - known
+    if n > rows:
+        return None
+    if n <= nulls or not known:
+        return value.isNull(), 0
+    # The sketch is right to within a share of the rows; one step more on either side covers it.
+    at = int((n - nulls) / known * SKETCH_STEPS)
+    low, high = grid[max(at - 1, 0)], grid[min(at + 2, SKETCH_STEPS)]
+    within = value.between(F.lit(low), F.lit(high))
+    before = places.where(value.isNull() | (value < F.lit(low))).count()
+    return (within, before) if before < n else None
+
+
+def _as_number(c: Column, kind: str) -> Column | None:
+    """A number that never falls as ``c`` rises, null where ``c`` is."""
+    if kind in ("tinyint", "smallint", "int", "bigint", "date", "timestamp", "timestamp_ntz"):
+        return F.unix_micros(c.cast("timestamp")) if "timestamp" in kind else (
+            F.unix_date(c).cast("long") if kind == "date" else c.cast("long"))
+    if kind in ("float", "double") or kind.startswith("decimal"):
+        number = c.cast("double")
+        return F.when(F.isnan(number), float("inf")).otherwise(number)
+    if kind == "string":
+        return F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("long")
+    return None
+
+
+def _literal(places: DataFrame, value) -> Column:
     fields = places.schema["place"].dataType.fields
-    names = [f.name for f in fields]
+    return F.struct(*[F.lit(value[f.name]).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def _exact_cut(places: DataFrame, n: int) -> tuple[Column, int, int] | None:
+    """The cut by a running sum over all places.
+
+    Equal places are counted before the shuffle, so a tie of any size is one row.
+    """
+    names = [f.name for f in places.schema["place"].dataType.fields]
     counted = places.groupBy(*[F.col(f"place.{c}").alias(c) for c in names]).agg(F.count(F.lit(1)).alias("_rows"))
     summed = running(sorted_runs(counted, names), [], Measure("_upto", F.col("_rows"), F.sum, add))
     found = summed.where((F.col("_upto") >= n) & (F.col("_upto") - F.col("_rows") < n)).first()
     if found is None:
         return None
-    bound = F.struct(*[F.lit(found[f.name]).cast(f.dataType).alias(f.name) for f in fields])
-    return bound, found["_upto"] - found["_rows"], found["_upto"]
+    return _literal(places, found), found["_upto"] - found["_rows"], found["_upto"]
 
 
 def translated_names(columns: list[str], suffix: str = "ar") -> list[str]:

@@ -1,5 +1,7 @@
 """Run statistics, computed from tables instead of counted along the way."""
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,10 +16,17 @@ def run_stats(
 
     Under the ``skip`` policy a null cell was never attempted, so it did not fail.
     """
+    return table.agg(*run_counters(columns, providers, suffix, null_policy))
+
+
+def run_counters(
+    columns: list[str], providers: list[str], suffix: str = "ar", null_policy: str = "skip",
+) -> list[Column]:
+    """The aggregates of :func:`run_stats`, which may also be observed along a write."""
     def over_columns(test) -> Column:
-        return sum((F.count_if(test(c)) for c in columns), F.lit(0).cast("long"))
+        return F.coalesce(F.sum(sum((F.when(test(c), 1).otherwise(0) for c in columns), F.lit(0))), F.lit(0)).cast("long")
 
-    return table.agg(
+    return [
         F.count(F.lit(1)).alias("total"),
         over_columns(lambda c: F.col(f"`{c}_{suffix}`").isNotNull()).alias("successful"),
         over_columns(lambda c: _failed(c, suffix, null_policy)).alias("failed"),
@@ -25,7 +34,16 @@ def run_stats(
             over_columns(lambda c, api=api: F.col(f"`{c}_api`") == api).alias(f"{api}_used")
             for api in providers
         ],
-    )
+    ]
+
+
+def run_clock(began: datetime, ended: datetime, rows: int) -> dict[str, object]:
+    """Start, end, duration and mean seconds per row of a run."""
+    seconds = (ended - began).total_seconds()
+    return {
+        "start_time": began.isoformat(), "end_time": ended.isoformat(), "duration_seconds": seconds,
+        "seconds_per_row": seconds / max(rows, 1),
+    }
 
 
 def stats_from_outcomes(

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from tarjuman import fixed
 from tarjuman.functions.text import preprocess
@@ -27,8 +27,8 @@ class Translation:
     """What a run produced.
 
     ``table`` is the translated table, ``requests`` the distinct texts of the
-    table, ``finished`` the outcome per text, which may include texts of earlier
-    runs, and ``attempts`` every provider call of this run.
+    table, ``finished`` the outcome per text, by this run or an earlier one, and
+    ``attempts`` every provider call of this run.
     """
 
     table: DataFrame
@@ -104,22 +104,42 @@ def translate(
     latest = progress.latest_batch(spark, lasting)
     if not resume and latest is not None:
         raise ValueError(f"{lasting} holds finished work; resume from it or name another folder")
+    history = progress.Settled(spark, lasting, SETTLED) if progress_folder else None
     if upto is not None and latest is not None:
         progress.discard_after(lasting, _attempts(spark, lasting), upto, latest)
         latest = min(latest, upto)
+        history.rebuild(_settled(_attempts(spark, lasting)))
     first = 0 if latest is None else latest + 1
 
-    done = None if latest is None else outcomes(_attempts(spark, lasting))
-    todo = progress.pending(requests, done, ["text_key"])
+    todo = requests
+    if latest is not None:
+        # A run that was stopped left batches that the history does not have.
+        known = history.latest()
+        left = _attempts(spark, lasting).where(F.col("batch_id") > (-1 if known is None else known))
+        history.add(_settled(left))
+        todo = requests.join(history.table().select("text_key"), "text_key", "left_anti")
     if batch_rows:
         batches = max(1, math.ceil(todo.count() / batch_rows))
     for number, batch in enumerate(_split(todo, requests, batches), start=first):
         folder = progress.batch_path(lasting, number)
         run_rounds(batch, providers, folder, max_retries, backoff, script)
-    attempts = _attempts(spark, lasting)
+    attempts = _attempts(spark, lasting).where(F.col("batch_id") >= first)
     finished = outcomes(attempts)
+    if history:
+        history.add(_settled(attempts))
+        # What earlier runs settled, for the texts of this one.
+        mine = history.table().join(requests.select("text_key"), "text_key", "left_semi")
+        finished = materialize(mine.drop("batch_id"), "finished")
     table = join_outcomes(df, columns, key, finished, requests, null_policy, suffix, preserve)
-    return Translation(table, requests, finished, attempts.where(F.col("batch_id") >= first))
+    return Translation(table, requests, finished, attempts)
+
+
+def _settled(attempts: DataFrame) -> DataFrame:
+    """Outcomes with the batch that settled them."""
+    return outcomes(attempts, "batch_id")
+
+
+SETTLED = StructType([StructField(c, StringType()) for c in ("text_key", "translation", "api", "error")])
 
 
 def checked_columns(

@@ -1,13 +1,15 @@
 """Jobs from options, and streams against batches."""
 
 import json
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tarjuman import run_job, translate_table
-from tarjuman.operators.providers import ColumnProvider, transliterator
-from tarjuman.plans.job import merged_options, provider_order
+from tarjuman.operators.providers import CallProvider, ColumnProvider, transliterator
+from tarjuman.plans import job as job_module
+from tarjuman.plans.job import configured, merged_options, provider_order
 from tarjuman.sources.scans import scan_files
 from tarjuman.streaming.arrivals import arriving_files, translate_stream
 
@@ -38,7 +40,13 @@ def test_job_writes_table_and_statistics(spark, source, tmp_path):
     assert api == {1: "nvidia", 2: None, 3: "nvidia"}
     lines = [json.loads(line) for f in (tmp_path / "out_stats.json").glob("part*")
              for line in f.read_text().splitlines()]
-    assert lines == [{"total": 3, "successful": 2, "failed": 1, "nvidia_used": 2}]
+    counters = {"total": 3, "successful": 2, "failed": 1, "nvidia_used": 2}
+    assert [{c: line[c] for c in counters} for line in lines] == [counters]
+    began, ended = (datetime.fromisoformat(lines[0][c]) for c in ("start_time", "end_time"))
+    assert lines[0]["duration_seconds"] == (ended - began).total_seconds() > 0
+    assert lines[0]["seconds_per_row"] == lines[0]["duration_seconds"] / 3
+    assert lines[0]["first_failures"] == [{"id": "2", "column": "prompt", "error": "All API attempts exhausted"}]
+    assert set(lines[0]) == {*counters, *result.clock, "first_failures"}
     failures = scan_files(spark, str(tmp_path / "out_stats_failures.json"), "jsonl").collect()
     assert [(r["id"], r["column"], r["error"]) for r in failures] == [
         (2, "prompt", "All API attempts exhausted")]
@@ -80,6 +88,86 @@ def test_parquet_rows_need_no_key(spark, tmp_path):
     assert table.columns == ["t", "t_ar", "t_api"] and table.where("t_api = 'nvidia'").count() == 2
 
 
+def test_first_failures_in_row_then_column_order(spark, tmp_path):
+    path = str(tmp_path / "in.parquet")
+    rows = [(i, "12 34 56 78 90", "98 76 54 32 10") for i in range(8, 0, -1)]
+    spark.createDataFrame(rows, "id long, zz string, aa string").write.parquet(path)
+    result = run_job(spark, {
+        "dataset": {"source": path, "key": "id", "columns_to_translate": ["zz", "aa"]},
+        "output": {"path": str(tmp_path / "out.parquet")}}, PROVIDERS)
+    assert [(r["id"], r["column"]) for r in result.first_failures] == [(i, c) for i in range(1, 6) for c in ("zz", "aa")]
+    assert result.stats.first().asDict() == {"total": 8, "successful": 0, "failed": 16, "nvidia_used": 0}
+
+
+def test_no_failures_and_an_empty_table(spark, tmp_path):
+    path = str(tmp_path / "in.parquet")
+    spark.createDataFrame([], "id long, t string").write.parquet(path)
+    result = run_job(spark, {
+        "dataset": {"source": path, "key": "id", "columns_to_translate": ["t"]},
+        "output": {"path": str(tmp_path / "out.parquet")}}, PROVIDERS)
+    line = spark.read.json(str(tmp_path / "out_stats.json")).first()
+    assert (line["total"], line["failed"], line["first_failures"]) == (0, 0, []) and result.first_failures == []
+
+
+def settled_client(settings):
+    return lambda text: f"{settings['model']} {settings['temperature']} مرحبا بالعالم"
+
+
+def bare_client():
+    return lambda text: text
+
+
+def test_options_of_the_apis_section(spark, tmp_path):
+    """Sampling goes to the client, the rate limit and the time limit to the provider."""
+    path = str(tmp_path / "in.parquet")
+    spark.createDataFrame([(i, f"some words {i}") for i in range(3)], "id long, t string").write.parquet(path)
+    job = {
+        "dataset": {"source": path, "file_name": None, "key": "id", "columns_to_translate": ["t"]},
+        "translation": {"primary_api": "fanar", "normalize_provider_terms": False},
+        "apis": {"fanar": {"model": "م", "temperature": 0.3, "rate_limit_rpm": 40}, "nvidia": None},
+        "retry": {"max_retries": 1, "backoff_multiplier": 2, "request_timeout": 5, "respect_rate_limits": False},
+        "checkpoint": None,
+        "output": {"path": str(tmp_path / "out.parquet"), "format": "parquet", "save_statistics": False},
+    }
+    provider = CallProvider("fanar", settled_client)
+    run_job(spark, job, {"fanar": provider})
+    got = {r["t_ar"] for r in spark.read.parquet(str(tmp_path / "out.parquet")).collect()}
+    assert got == {"م 0.3 مرحبا بالعالم"}
+    opts = merged_options(job)
+    assert configured(provider, "fanar", opts, "log").per_minute is None
+    opts["retry"]["respect_rate_limits"] = True
+    limited = configured(provider, "fanar", opts, "log")
+    assert (limited.per_minute, limited.timeout, limited.log) == (40, 5, "log")
+    assert configured(PROVIDERS["nvidia"], "nvidia", opts, None) is PROVIDERS["nvidia"]
+    with pytest.raises(ValueError, match="takes no settings"):
+        configured(CallProvider("fanar", bare_client), "fanar", opts, None)
+    with pytest.raises(ValueError, match="Unknown options in apis.fanar"):
+        merged_options({"apis": {"fanar": {"modell": 1}}})
+
+
+def test_statistics_cost_no_scan(spark, tmp_path, monkeypatch):
+    """The source is read for the texts, for the output and for the failures."""
+    path = str(tmp_path / "in.parquet")
+    spark.createDataFrame([(1, "some words here"), (2, "12 34 56 78")], "id long, t string").write.parquet(path)
+    load = job_module.load_table
+    counter = spark.sparkContext.accumulator(0)
+
+    def counted(*args):
+        def seen(batches):
+            for batch in batches:
+                counter.add(len(batch))
+                yield batch
+        table = load(*args)
+        return table.mapInPandas(seen, table.schema)
+
+    monkeypatch.setattr(job_module, "load_table", counted)
+    result = run_job(spark, {
+        "dataset": {"source": path, "key": "id", "columns_to_translate": ["t"]},
+        "output": {"path": str(tmp_path / "out.parquet"), "save_statistics": False}}, PROVIDERS)
+    assert result.stats.first()["failed"] == 1
+    assert counter.value <= 3 * 2
+
+
 def test_bad_options(spark, source, tmp_path):
     for bad in ({"nope": {}}, {"dataset": {"sauce": 1}}):
         with pytest.raises(ValueError, match="Unknown option"):

@@ -206,6 +206,59 @@ def test_finished_work_is_not_sent_again(spark, cells, tmp_path):
     assert counting.asked and not done & set(counting.asked)
 
 
+def exchanges_above(plan: str, leaf: str) -> list[str]:
+    """The operators on the way from a scan of ``leaf`` up to the join it feeds."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "Scan parquet" in line and leaf in line)
+    depth, found = len(lines[at]) - len(lines[at].lstrip(" :+-")), []
+    for line in reversed(lines[:at]):
+        own = len(line) - len(line.lstrip(" :+-"))
+        if own < depth:
+            depth = own
+            found.append(line.strip(" :+-"))
+            if "Join" in line:
+                return found
+    return found
+
+
+def test_the_history_of_a_resumed_run_is_not_shuffled(spark, cells, tmp_path, monkeypatch):
+    _, df = cells
+    folder = str(tmp_path / "progress")
+    translate(df.where("id < 300"), ["body"], [scripted("first")], ["id"], progress_folder=folder)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        history = progress.Settled(spark, folder, plan.SETTLED)
+        requests = plan.distinct_requests(df, ["body"])
+        for how in ("left_anti", "left_semi"):
+            looked = (requests.join(history.table().select("text_key"), "text_key", how) if how == "left_anti"
+                      else history.table().join(requests.select("text_key"), "text_key", how))
+            shown = looked._jdf.queryExecution().executedPlan().toString()
+            way = exchanges_above(shown, history.name)
+            assert "Join" in way[-1] and not any("Exchange" in step for step in way), shown
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_history_is_appended_and_found_by_another_session(spark, cells, tmp_path):
+    """Each text once, whatever runs settled it; the table may be unknown to the session."""
+    rows, df = cells
+    folder = str(tmp_path / "it's progress")
+    translate(df.where("id < 200"), ["body"], [scripted("first")], ["id"], progress_folder=folder)
+    history = progress.Settled(spark, folder, plan.SETTLED)
+    assert history.latest() == 0
+    spark.sql(f"drop table {history.name}")
+    counting = Counting(spark, scripted("first"))
+    run = translate(df, ["body"], [counting], ["id"], progress_folder=folder, resume=True)
+    assert as_dict(run.table, ("body",)) == expected_table(rows, ("first",), ("body",))
+    keys = [r[0] for r in history.table().select("text_key").collect()]
+    assert len(keys) == len(set(keys)) == run.requests.count() and history.latest() == 1
+    # Texts of earlier runs that this one does not have are left out.
+    part = translate(df.where("id < 20"), ["body"], [counting], ["id"], progress_folder=folder, resume=True)
+    assert part.finished.count() == part.requests.count() < len(keys) and part.attempts.count() == 0
+
+
 def test_resume_from_a_named_batch_drops_later_ones(spark, cells, tmp_path):
     rows, df = cells
     folder = str(tmp_path / "progress")
