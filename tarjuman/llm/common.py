@@ -31,14 +31,6 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8MB")
 
 
-def free_name(taken, wanted: str) -> str:
-    """``wanted``, with underscores in front until no column has that name in any case."""
-    known = {name.lower() for name in taken}
-    while wanted.lower() in known:
-        wanted = "_" + wanted
-    return wanted
-
-
 @contextmanager
 def batches_of(spark: SparkSession, rows: int, size: str):
     """Bound Arrow batches by rows and bytes for the actions inside; the caller's settings come back."""

@@ -12,11 +12,14 @@ link when 100 * |intersection| >= 75 * |union|. Documents with equal sets are on
    share is near the front of both, so only fronts count: a seventh of the smaller set,
    a quarter of the larger. The matrix holds, per shingle and group, the union of its
    members' fronts with bounds on their sizes and remaining shingles.
-3. Bound. A larger set is looked up in the matrix; groups other than its own qualify if
-   sizes and remaining shingles still allow the overlap a link needs.
+3. Bound. Groups are looked up in the matrix by the shingles of their fronts; another
+   group qualifies if sizes and remaining shingles still allow the overlap a link needs.
 4. Open. Only in qualifying groups are members compared: by the same bound, by an upper
    bound from small bitmaps of the sets, then exactly. All links together give the components.
 
+Texts are shingled once for sizes, min-hashes and the sketch and once for the fronts, which
+are kept. Later steps shingle only the texts whose sets they need, found by a text hash.
+
 The order and the groups decide how much is compared, never what links: no link between
 different classes is lost unless both ends are in one component already. 64-bit hashes
 stand for shingles and classes.
@@ -34,16 +37,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarjuman.llm.common import small_batches
+from tarjuman.llm.common import WORD, batches_of
 from tarjuman.llm.components import components
 from tarjuman.llm.language import mix64
+from tarjuman.operators.shape import free_name
 from tarjuman.workspace import materialize
 
 WORDS = 5
 KEYS = 4
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 CHUNK = 4096
-COMMON_SIGMAS = 8
+COMMON_SIGMAS = 4
 BITMAP_BITS = 26
 
 _BASE = 0x9E3779B97F4A7C15
@@ -116,13 +120,25 @@ def needed(a, b):
     return F.ceil((a + b) * 3 / F.lit(7)).cast("int")
 
 
+def packed_counts(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes as the largest needs; the length of the whole tells how many."""
+    most = int(counts.max())
+    return counts.astype("u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<i4" if most < 1 << 31 else "<i8").tobytes()
+
+
+def unpacked_counts(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, {1: "u1", 2: "<u2", 4: "<i4", 8: "<i8"}[len(data) // CHUNK]).astype(np.int64)
+
+
 def scan_sets(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """``(doc_id, n, class, keys, bits)`` of every row of ``(doc_id, text)``, and the count sketch."""
+    """``(doc_id, text_hash, n, class, keys, bits)`` of every row of ``(doc_id, text, text_hash)``,
+    and the count sketch."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sketch = np.zeros(1 << SKETCH_BITS, np.int32)
-        seeds = mix64(np.arange(1, KEYS + 1, dtype=np.uint64) * np.uint64(_BASE))
+        # Shingle hashes are mixed well: an odd factor each gives other orders of them.
+        factors = mix64(np.arange(1, KEYS + 1, dtype=np.uint64) * np.uint64(_BASE)) | np.uint64(1)
         for batch in batches:
             sizes, classes, keys, bits = [], [], [], []
             for text in batch["text"]:
@@ -131,20 +147,20 @@ def scan_sets(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 sizes.append(len(own))
                 classes.append(class_of(own))
                 bits.append(bits_of(own))
-                keys.append([int(signed(mix64(own ^ s).min().reshape(1))[0]) for s in seeds] if len(own) else [])
+                keys.append([int(signed((own * f).min().reshape(1))[0]) for f in factors] if len(own) else [])
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "n": sizes, "class": classes, "keys": keys, "bits": bits,
-                "chunk": None, "counts": None,
+                "doc_id": batch["doc_id"], "text_hash": batch["text_hash"], "n": sizes, "class": classes, "keys": keys,
+                "bits": bits, "chunk": None, "counts": None,
             })
         for chunk in range(0, 1 << SKETCH_BITS, CHUNK):
             if sketch[chunk:chunk + CHUNK].any():
                 yield pd.DataFrame({
-                    "doc_id": [None], "n": None, "class": None, "keys": None, "bits": None,
-                    "chunk": chunk, "counts": [sketch[chunk:chunk + CHUNK].tobytes()],
+                    "doc_id": [None], "text_hash": None, "n": None, "class": None, "keys": None, "bits": None,
+                    "chunk": chunk, "counts": [packed_counts(sketch[chunk:chunk + CHUNK])],
                 })
 
-    scanned = docs.select("doc_id", "text").mapInPandas(
-        scan, f"doc_id {kind}, n int, class long, keys array<long>, bits binary, chunk int, counts binary")
+    scanned = docs.select("doc_id", "text", "text_hash").mapInPandas(
+        scan, f"doc_id {kind}, text_hash long, n int, class long, keys array<long>, bits binary, chunk int, counts binary")
     scanned = materialize(scanned, "sets")
 
     @F.pandas_udf("binary")
@@ -152,16 +168,15 @@ def scan_sets(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         # The sketches of a chunk's tasks, of fixed size each; wide sums, as tasks are many.
         total = np.zeros(CHUNK, np.int64)
         for part in parts:
-            own = np.frombuffer(part, np.int64 if len(part) == 8 * CHUNK else np.int32)
-            total += own
-        return total.tobytes()
+            total += unpacked_counts(part)
+        return packed_counts(total)
 
     counts = scanned.where("chunk is not null").select("chunk", "counts", (F.rand(7) * 16).cast("int").alias("lot"))
     counts = counts.groupBy("chunk", "lot").agg(added("counts").alias("counts"))
     counts = counts.groupBy("chunk").agg(added("counts").alias("counts"))
     sketch = np.zeros(1 << SKETCH_BITS, np.int64)
     for row in counts.collect():
-        sketch[row["chunk"]:row["chunk"] + CHUNK] = np.frombuffer(bytes(row["counts"]), np.int64)
+        sketch[row["chunk"]:row["chunk"] + CHUNK] = unpacked_counts(bytes(row["counts"]))
     return scanned.where("chunk is null").drop("chunk", "counts"), sketch
 
 
@@ -203,11 +218,25 @@ def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
 
 
+def texts_of(docs: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(text)`` of the documents that stand for ``(class)``, and few others: one text hash
+    per class goes into a bitmap of fixed size."""
+    wanted = sets.join(classes, "class", "left_semi").groupBy("class").agg(F.min("text_hash").alias("text_hash"))
+    likely = bitmap_of(wanted, "text_hash")
+
+    @F.pandas_udf("boolean")
+    def hit(hashes: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(likely.value, hashes.to_numpy(np.int64).view(np.uint64)))
+
+    return docs.where("text is not null").where(hit("text_hash")).select("text")
+
+
 def star_pairs(docs: DataFrame, sets: DataFrame, levels) -> DataFrame:
     """``(a, b)``: a class and the leader of a min-hash bucket it is in, if sizes allow a link."""
     kept = sets.where("n > 0").groupBy("class").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
     keyed = kept.select("class", "n", F.posexplode("keys").alias("k", "key"))
     several = keyed.groupBy("k", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
+    keyed = materialize(keyed.join(several, ["k", "key"]), "keyed")
 
     def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -218,9 +247,9 @@ def star_pairs(docs: DataFrame, sets: DataFrame, levels) -> DataFrame:
                            if len(s) else 0.0 for s in own],
             })
 
-    rated = docs.select("text").mapInPandas(rate, "class long, common double")
-    rated = rated.groupBy("class").agg(F.first("common").alias("common"))
-    keyed = materialize(keyed.join(several, ["k", "key"]).join(rated, "class"), "keyed")
+    rated = texts_of(docs, sets, keyed.select("class").distinct()).mapInPandas(rate, "class long, common double")
+    rated = materialize(rated.groupBy("class").agg(F.first("common").alias("common")), "rated")
+    keyed = keyed.join(rated, "class")
     leaders = keyed.groupBy("k", "key").agg(
         F.max(F.struct("common", "class", "n")).alias("leader")).select("k", "key", "leader.class", "leader.n")
     leaders = leaders.withColumnsRenamed({"class": "b", "n": "m"})
@@ -245,17 +274,14 @@ def verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
     pairs = possible(pairs, sets)
     wanted = materialize(
         pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct(), "compared")
-    likely = bitmap_of(wanted, "class")
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             own = [shingles(t) for t in batch["text"]]
-            classes = np.array([class_of(s) for s in own], np.int64)
-            hit = in_bitmap(likely.value, classes.view(np.uint64))
-            yield pd.DataFrame({"class": classes[hit], "set": [s.tobytes() for s, h in zip(own, hit) if h]})
+            yield pd.DataFrame({"class": [class_of(s) for s in own], "set": [s.tobytes() for s in own]})
 
-    # Only classes that are compared are kept, each once; most others are not even shuffled.
-    compared = docs.select("text").mapInPandas(hashed, "class long, set binary")
+    # Only classes that are compared are kept, each once; most others are not even shingled.
+    compared = texts_of(docs, sets, wanted).mapInPandas(hashed, "class long, set binary")
     compared = compared.join(wanted, "class", "left_semi").dropDuplicates(["class"])
     compared = materialize(compared, "compared-sets")
 
@@ -275,51 +301,68 @@ def verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return materialize(both.where(link("left", "right")).select("a", "b"), "verified")
 
 
-def fronts(docs: DataFrame, levels, bitmap=None) -> DataFrame:
-    """``(token, class, n, pos)``: the first shingles of every document, at most those that
-    ``bitmap`` has."""
+def fronts(docs: DataFrame, levels) -> DataFrame:
+    """``(class, n, front)``: the first shingles of every document, as many as any link needs."""
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            own = [s for s in map(shingles, batch["text"]) if len(s)]
+            yield pd.DataFrame({
+                "class": [class_of(s) for s in own], "n": [len(s) for s in own],
+                "front": [rare_first(s, levels.value)[:len(s) - -(-3 * len(s) // 4) + 1].tobytes() for s in own],
+            })
+
+    return materialize(docs.select("text").mapInPandas(cut, "class long, n int, front binary"), "fronts")
+
+
+def tokens_of(cut: DataFrame, bitmap=None) -> DataFrame:
+    """``(token, class, n, pos)``: the shingles of the fronts, at most those that ``bitmap`` has."""
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             parts = []
-            for text in batch["text"]:
-                own = shingles(text)
-                n = len(own)
-                front = rare_first(own, levels.value)[:n - -(-3 * n // 4) + 1]
+            for own_class, n, data in zip(batch["class"], batch["n"], batch["front"]):
+                front = np.frombuffer(data, np.uint64)
                 pos = np.arange(len(front), dtype=np.int32)
-                if bitmap is not None and n:
+                if bitmap is not None:
                     hit = in_bitmap(bitmap.value, front)
                     front, pos = front[hit], pos[hit]
                 if len(front):
-                    parts.append((front, np.full(len(front), class_of(own)), np.full(len(front), n, np.int32), pos))
+                    parts.append((front, np.full(len(front), own_class), np.full(len(front), n, np.int32), pos))
             if parts:
                 token, own_class, n, pos = map(np.concatenate, zip(*parts))
                 yield pd.DataFrame({"token": signed(token), "class": own_class, "n": n, "pos": pos})
 
-    return docs.select("text").mapInPandas(emit, "token long, class long, n int, pos int")
+    return cut.mapInPandas(emit, "token long, class long, n int, pos int")
 
 
-def shared_tokens(docs: DataFrame, levels) -> DataFrame:
+def shared_tokens(cut: DataFrame) -> DataFrame:
     """Shingles that are at the front of more than one class."""
-    rows = fronts(docs, levels).groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    rows = tokens_of(cut).groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high"))
     return materialize(rows.where("low < high").select("token"), "shared")
 
 
 def cross_pairs(docs: DataFrame, groups: DataFrame, levels) -> DataFrame:
     """``(a, b)``: classes of different groups that may link, by the token-group matrix."""
-    tokens = shared_tokens(docs, levels)
-    rows = fronts(docs, levels, bitmap_of(tokens, "token")).join(tokens, "token", "left_semi").distinct()
+    cut = fronts(docs, levels)
+    tokens = shared_tokens(cut)
+    rows = tokens_of(cut, bitmap_of(tokens, "token")).join(tokens, "token", "left_semi").distinct()
     rows = rows.join(groups.withColumnsRenamed({"node": "class", "label": "group"}), "class", "left")
-    rows = materialize(rows.withColumn("group", F.coalesce("group", "class")), "fronts")
+    rows = materialize(rows.withColumn("group", F.coalesce("group", "class")), "front-tokens")
     index = rows.where(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * 6 / F.lit(7)))
+    rest = F.max(F.col("n") - F.col("pos"))
+    asking = rows.groupBy("token", "group").agg(
+        F.min("n").alias("q_least"), F.max("n").alias("q_most"), rest.alias("q_rest"))
     matrix = index.groupBy("token", "group").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest"),
-    ).withColumnRenamed("group", "other")
-    overlap = needed(F.col("n"), F.greatest("least", F.ceil(F.col("n") * 3 / F.lit(4)).cast("int")))
-    qualified = rows.join(matrix, "token").where(
-        (F.col("group") != F.col("other")) & (F.col("least") <= F.col("n")) & (4 * F.col("most") >= 3 * F.col("n"))
-        & (F.least(F.col("n") - F.col("pos"), F.col("rest")) >= overlap)
-    ).select("token", "other", F.col("class").alias("q"), F.col("n").alias("qn"), F.col("pos").alias("qpos"))
-    opened = qualified.join(index.withColumnRenamed("group", "other"), ["token", "other"]).where(
+        F.min("n").alias("least"), F.max("n").alias("most"), rest.alias("rest")).withColumnRenamed("group", "other")
+    # The least overlap that any of the group's sets needs with any of the other's.
+    smallest = F.greatest("least", F.ceil(F.col("q_least") * 3 / F.lit(4)).cast("int"))
+    qualified = asking.join(matrix, "token").where(
+        (F.col("group") != F.col("other")) & (F.col("least") <= F.col("q_most")) & (4 * F.col("most") >= 3 * F.col("q_least"))
+        & (F.least("q_rest", "rest") >= needed(F.greatest("q_least", "least"), smallest))
+    ).select("token", "group", "other")
+    asked = rows.select("token", "group", F.col("class").alias("q"), F.col("n").alias("qn"), F.col("pos").alias("qpos"))
+    opened = qualified.join(asked, ["token", "group"]).drop("group").join(
+        index.withColumnRenamed("group", "other"), ["token", "other"]
+    ).where(
         (F.col("n") <= F.col("qn")) & (4 * F.col("n") >= 3 * F.col("qn"))
         & (F.least(F.col("qn") - F.col("qpos"), F.col("n") - F.col("pos")) >= needed(F.col("n"), F.col("qn")))
     )
@@ -327,20 +370,21 @@ def cross_pairs(docs: DataFrame, groups: DataFrame, levels) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, n_shingles, class, label, component_id)``, one row per row of ``docs``.
+    """``(doc_id, text_hash, n_shingles, class, label, component_id)``, one row per row of ``docs``.
 
     ``label`` tells components apart (null for empty sets), ``component_id`` is the
-    smallest doc_id in one.
+    smallest doc_id in one, ``text_hash`` the xxhash64 of the text.
     """
     spark = docs.sparkSession
-    small_batches(spark)
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    sets, sketch = scan_sets(docs)
-    levels = spark.sparkContext.broadcast(levels_of(sketch))
-    stars = verified(docs, star_pairs(docs, sets, levels), sets)
-    groups = components(stars)
-    crossing = verified(docs, cross_pairs(docs, groups, levels), sets)
-    labels = components(stars.union(crossing))
+    own = F.col(f"`{text}`")
+    docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), own.alias("text"), F.xxhash64(own).alias("text_hash"))
+    with batches_of(spark, 256, "8MB"):
+        sets, sketch = scan_sets(docs)
+        levels = spark.sparkContext.broadcast(levels_of(sketch))
+        stars = verified(docs, star_pairs(docs, sets, levels), sets)
+        groups = components(stars)
+        crossing = verified(docs, cross_pairs(docs, groups, levels), sets)
+        labels = components(stars.union(crossing))
     least = sets.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     labelled = least.join(labels, F.col("class") == F.col("node"), "left")
     labelled = labelled.select("class", "least", F.coalesce("label", "class").alias("label"))
@@ -349,21 +393,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     found = sets.join(named, "class", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return found.select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), "class", "label", component.alias("component_id"))
+        "doc_id", "text_hash", F.col("n").cast("long").alias("n_shingles"), "class", "label",
+        component.alias("component_id"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component, that of the smallest id; rows with an empty set all stay."""
     found = near_duplicates(docs, doc_id, text).where("label is not null")
-    first = found.groupBy("label").agg(F.min(F.struct("doc_id", "class")).alias("first")).select("first.*")
+    first = found.groupBy("label").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")).select("first.*")
     # Null-safe ids as text; both sides are dealt by them, so repeated rows meet in one task.
-    as_key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias("_id")
-    first = materialize(first.select(as_key("doc_id"), F.col("class").alias("_class")), "kept")
-
-    @F.pandas_udf("long")
-    def classes(texts: pd.Series) -> pd.Series:
-        return pd.Series([class_of(shingles(t if isinstance(t, str) else None)) for t in texts], dtype="int64")
-
-    marked = docs.select(*[F.col(f"`{c}`") for c in docs.columns], as_key(doc_id), classes(F.col(text)).alias("_class"))
-    kept = marked.join(first.hint("merge"), ["_id", "_class"], "left_semi").dropDuplicates(["_id", "_class"])
-    return kept.unionByName(marked.where("_class = 0")).drop("_id", "_class")
+    key, print_ = free_name(docs.columns, "_id"), free_name(docs.columns, "_print")
+    as_key = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(key)
+    first = materialize(first.select(as_key("doc_id"), F.col("text_hash").alias(print_)), "kept")
+    own = F.col(f"`{text}`")
+    marked = docs.select(*[F.col(f"`{c}`") for c in docs.columns], as_key(doc_id), F.xxhash64(own).alias(print_))
+    has_words = F.coalesce(own.rlike(WORD), F.lit(False))
+    kept = marked.where(has_words).join(first.hint("merge"), [key, print_], "left_semi").dropDuplicates([key, print_])
+    return kept.unionByName(marked.where(~has_words)).drop(key, print_)
