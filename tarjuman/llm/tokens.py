@@ -39,7 +39,8 @@ from tarjuman.workspace import new_folder
 BLOCK = 1 << 16
 BLOCKS_AT_ONCE = 32
 END_ID = 0
-MOST_REMEMBERED = 500_000
+MOST_REMEMBERED = 400_000
+MARKS = ".,!?;:"
 
 #: What splits text before the merges of a byte-level BPE vocabulary.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -58,7 +59,7 @@ def is_uneven(text: str) -> bool:
 
 
 class Encoder:
-    """A tokenizer file's ids for texts, remembering the pieces it has seen.
+    """A tokenizer file's ids for texts, remembering the words it has seen.
 
     With byte-level BPE, a piece between single blanks is encoded alike in any text, so
     each distinct piece goes through the library once: its own pre-tokens straight to
@@ -80,7 +81,7 @@ class Encoder:
         )
         added = [re.escape(t["content"]) for t in layout["added_tokens"]]
         self.whole = re.compile("|".join([r"[\x1c-\x1f\x85\u180e\u200b-\u200d\u2060\ufeff]", *added]))
-        self.words, self.pieces = Remembered(self._word), Remembered(self._piece)
+        self.pieces, self.other = Remembered(self._piece), Remembered(self._word)
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [b for b in range(256) if b not in plain]
         self.bytes = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
@@ -92,35 +93,50 @@ class Encoder:
         mapped = word.encode().decode("latin-1").translate(self.bytes)
         return array("I", [token.id for token in self.tokenizer.model.tokenize(mapped)]).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, word: str) -> bytes:
+        """The ids of a blank and ``word``, which has no single blank in it."""
+        # Most are letters, or letters with one mark at the end.
+        if word.isalpha() and (word.isascii() or max(word) < "\u0250"):
+            return self._word(" " + word)
+        if word[-1:] in MARKS and word[:-1].isalpha():
+            return self.pieces[word[:-1]] + self.other[word[-1]]
+        return self._parts(" " + word)
+
+    def _parts(self, piece: str) -> bytes:
         if not piece.isascii() and max(piece) >= "\u0250":
             return self._text(piece)
-        # Most pieces are a blank and letters, or that with one mark at the end.
-        if piece[1:].isalpha() and piece[0] == " ":
-            return self._word(piece)
-        if piece[1:-1].isalpha() and piece[0] == " " and piece[-1] in ".,!?;:":
-            return self.words[piece[:-1]] + self.words[piece[-1]]
-        return b"".join(map(self.words.__getitem__, WORDS.findall(piece)))
+        return b"".join([
+            self.pieces[part[1:]] if part[0] == " " and part[1:].isalpha() else self.other[part]
+            for part in WORDS.findall(piece)
+        ])
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if not text or not self.by_piece or self.whole.search(text):
             return self._text(text)
         parts = SINGLE.split(text) if is_uneven(text) else text.split(" ")
-        for seen in (self.words, self.pieces):
-            if len(seen) > MOST_REMEMBERED:
-                seen.clear()
-        first = self._piece(parts[0])
-        return first + b"".join(map(self.pieces.__getitem__, [" " + p for p in parts[1:]]))
+        first = self._parts(parts[0])
+        return first + b"".join(map(self.pieces.__getitem__, parts[1:]))
 
 
 class Remembered(dict):
+    """Results of ``compute`` by argument, those of the last ``MOST_REMEMBERED`` or more arguments.
+
+    A full dictionary becomes the old one, which is looked into once more before it goes.
+    """
+
     def __init__(self, compute):
         super().__init__()
-        self.compute = compute
+        self.compute, self.old = compute, {}
 
     def __missing__(self, key):
-        value = self[key] = self.compute(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= MOST_REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
