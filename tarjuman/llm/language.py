@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarjuman.llm.common import small_batches
+from tarjuman.operators.shape import free_name
 from tarjuman.workspace import materialize
 
 ORDERS = (2, 3, 4)
@@ -186,12 +187,14 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Langua
     counted = labelled.groupBy("lang").count().orderBy("lang").collect()
     if not counted:
         return LanguageFilter([], [])
-    # At most so many texts of a language are expected below its bar; equal texts share a hash.
-    bars = {r["lang"]: min(1.0, DOCS_PER_LANGUAGE / r["count"]) for r in counted}
+    # About so many distinct texts of a language lie below its bar. Copies share a hash, so a
+    # text counts once however often it occurs, and a language of few texts is learned whole.
+    texts = labelled.select("lang", F.xxhash64("text").alias("print")).distinct().groupBy("lang").count().collect()
+    bars = {r["lang"]: min(1.0, DOCS_PER_LANGUAGE / r["count"]) for r in texts}
     bar: Column = F.lit(0.0)
     for name, share in bars.items():
         bar = F.when(F.col("lang") == name, F.lit(share)).otherwise(bar)
-    chosen = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < bar * (1 << 20))
+    chosen = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < bar * (1 << 20)).dropDuplicates(["lang", "text"])
 
     def count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -228,7 +231,6 @@ def identify(docs: DataFrame, model: LanguageFilter, text: str = "text") -> Data
         names, scores = shared.value.predict([t if isinstance(t, str) else None for t in texts])
         return pd.DataFrame({"lang_pred": names, "score": scores})
 
-    kept = docs.drop("lang_pred", "score").withColumn("_language", predict(F.col(text)))
-    return kept.withColumns(
-        {"lang_pred": F.col("_language.lang_pred"), "score": F.col("_language.score")}
-    ).drop("_language")
+    found = free_name(docs.columns, "_language")
+    kept = docs.drop(*({"lang_pred", "score"} - {text})).withColumn(found, predict(F.col(f"`{text}`")))
+    return kept.withColumns({name: F.col(found).getField(name) for name in ("lang_pred", "score")}).drop(found)
