@@ -13,7 +13,8 @@ out, replaced, and put between the pieces of the text around them.
   punctuation stay.
 * ssn: 3-2-4 digits with a valid area, group and serial, and stays valid.
 * date: ``yyyy-MM-dd``, ``dd.MM.yyyy`` or ``dd/MM/yyyy`` (else ``MM/dd/yyyy``), if the day exists up to
-  year 9600; it moves within its 400-year cycle of the calendar, so it stays a day.
+  year 9600; it moves within its 400-year cycle of the calendar, so it stays a day, and a
+  slash date moves among those of the same reading.
 
 Anything that looks alike but does not validate is left as it is. Names, mail addresses
 and tokens are not numbers and are not this operator's business.
@@ -25,6 +26,8 @@ gives an empty result; other columns are carried along.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarjuman.operators.shape import free_name
+
 ROUNDS = 10
 PATTERNS = {
     "ipv4": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)",
@@ -34,7 +37,11 @@ PATTERNS = {
     "card": r"(?<![\d])\d(?:[ -]?\d){12,18}(?![\d])",
 }
 ANY = "|".join(PATTERNS.values())
+# Country calling codes of one and of two digits; all others have three.
+COUNTRY_CODE = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 CYCLE_START, CYCLE_DAYS, CYCLE_HALVES = "1601-01-01", 146_097, (189, 773)
+#: Days above the twelfth of their month: CYCLE_DAYS - 12 * 4800.
+EARLY, LATE_HALVES = 12, (9, 9833)
 
 
 def feistel(key: str, kind: str, left: Column, right: Column, m: Column, n: Column) -> Column:
@@ -106,7 +113,7 @@ def ipv4(key: str, value: Column) -> Column:
 
 
 def phone(key: str, value: Column) -> Column:
-    country = F.regexp_extract(value, r"^\+\d{1,3}?(?=[ .(-])|^\+\d", 0)
+    country = F.regexp_extract(value, COUNTRY_CODE, 0)
     rest = value.substr(F.length(country) + 1, F.length(value))
     new = F.concat(country, put_digits(rest, permute_digits(key, "phone", digits_of(rest))))
     return F.when(F.length(digits_of(value)).between(8, 15), new).otherwise(value)
@@ -134,11 +141,38 @@ def date(key: str, value: Column) -> Column:
         m, n = CYCLE_HALVES
         found = feistel(key, "date", F.floor(within / n), within % n, F.lit(m), F.lit(n))
         moved = F.date_add(day, (found.left * n + found.right).cast("int") - within)
+        if form == "MM/dd/yyyy":
+            # Read so only where the day is above 12, and the pseudonym must read so too.
+            moved = late_day(key, day, within)
         fits = value.rlike(shape) & day.isNotNull() & (F.year(day) <= 9600)
         new = F.when(fits, F.date_format(moved, form)).otherwise(new)
     return new
 
 
+def late_day(key: str, day: Column, within: Column) -> Column:
+    """A day above 12 of some month, permuted among all such days of its 400-year cycle.
+
+    They are numbered by what is left of the days when the first twelve of each month go.
+    """
+    def before(month: Column) -> Column:
+        """Such days before a month of the cycle, counted from 0."""
+        start = F.add_months(F.lit(CYCLE_START).cast("date"), month)
+        return F.datediff(start, F.lit(CYCLE_START).cast("date")) - EARLY * month
+
+    m, n = LATE_HALVES
+    first = F.date_sub(day, within)
+    month = (F.year(day) - F.year(first)) * 12 + F.month(day) - 1
+    number = before(month) + F.day(day) - EARLY - 1
+    found = feistel(key, "late day", F.floor(number / n), number % n, F.lit(m), F.lit(n))
+    moved = (found.left * n + found.right).cast("int")
+    # Months have 16 to 19 such days, 18.437 in the mean of a cycle.
+    guess = F.floor(moved * 4800 / (m * n)).cast("int")
+    months = F.filter(
+        F.sequence(F.greatest(guess - 2, F.lit(0)), F.least(guess + 2, F.lit(4799))), lambda i: before(i) <= moved)
+    own = F.array_max(months)
+    return F.date_add(F.add_months(first, own), moved - before(own) + EARLY)
+
+
 def pseudonym(key: str, value: Column) -> Column:
     """The pseudonym of a whole matched value, by the first kind whose format it has."""
     kinds = {"ipv4": ipv4, "phone": phone, "ssn": ssn, "date": date, "card": card}
@@ -151,16 +185,18 @@ def pseudonym(key: str, value: Column) -> Column:
 def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with the values in ``text`` replaced, and ``n_replaced``."""
     names = [c for c in docs.columns if c != "n_replaced"]
+    old = free_name(docs.columns, "_pii_found")
+    new = free_name(docs.columns, "_pii_new")
+    own = F.col(f"`{text}`")
     found = docs.select(
         *[F.col(f"`{c}`") for c in names],
-        F.when(F.col(text).rlike(ANY), F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0))).alias("_pii_found"),
+        F.when(own.rlike(ANY), F.regexp_extract_all(own, F.lit(ANY), F.lit(0))).alias(old),
     )
-    changed = found.withColumn("_pii_new", F.transform("_pii_found", lambda m: pseudonym(key, m)))
-    around = F.transform(
-        F.split(F.col(text), ANY, -1), lambda gap, i: F.concat(gap, F.coalesce(F.get("_pii_new", i), F.lit(""))))
-    new_text = F.when(F.col("_pii_found").isNotNull(), F.array_join(around, "")).otherwise(F.col(text))
-    different = F.filter(F.zip_with("_pii_found", "_pii_new", lambda a, b: a != b), lambda d: d)
+    changed = found.withColumn(new, F.transform(old, lambda m: pseudonym(key, m)))
+    around = F.transform(F.split(own, ANY, -1), lambda gap, i: F.concat(gap, F.coalesce(F.get(new, i), F.lit(""))))
+    new_text = F.when(F.col(old).isNotNull(), F.array_join(around, "")).otherwise(own)
+    different = F.filter(F.zip_with(old, new, lambda a, b: a != b), lambda d: d)
     n_replaced = F.coalesce(F.size(different), F.lit(0))
-    n_replaced = F.when(F.col("_pii_found").isNull(), 0).otherwise(n_replaced).cast("long")
+    n_replaced = F.when(F.col(old).isNull(), 0).otherwise(n_replaced).cast("long")
     return changed.withColumns({"n_replaced": n_replaced, text: new_text}).select(
         *[F.col(f"`{c}`") for c in names], "n_replaced")
