@@ -55,21 +55,29 @@ def windows_of(docs: DataFrame, text: str, order: Column) -> DataFrame:
 def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with later occurrences of repeated windows cut from ``text``, and ``n_removed`` lines."""
     names = [c for c in docs.columns if c != "n_removed"]
-    source = docs.select(*[F.col(f"`{c}`") for c in names], F.col(doc_id).alias("_doc_id"))
-    windows = windows_of(source, text, F.col("_doc_id"))
+    # The caller's columns travel in one, so that their names are free.
+    row = F.struct(*[F.col(f"`{c}`") for c in names])
+    source = docs.select(row.alias("_row"), F.col(f"`{doc_id}`").alias("_doc_id"), F.col(f"`{text}`").alias("_text"))
+    windows = windows_of(source, "_text", F.col("_doc_id"))
     place = F.struct("_order", "_fp", "_len", "at")
     repeated = windows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
     repeated = repeated.where("n > 1").drop("n")
     later = windows.join(repeated, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
     covered = later.groupBy(*KEY).agg(F.array_sort(F.collect_set("at")).alias("_places"))
-    # Windows that overlap or touch are one run of lines.
-    cuts = materialize(covered.select(*KEY, runs(F.col("_places"), LINES).alias("_runs")), "line-cuts")
-    keyed = source.select("*", *text_key("_doc_id", text)).drop("_doc_id")
+    # Windows that overlap or touch are one run of lines, and every line of it goes.
+    merged = runs(F.col("_places"), LINES)
+    gone = F.flatten(F.transform(merged, lambda r: F.sequence(r.first, r.last + LINES - 1)))
+    cuts = materialize(covered.select(*KEY, gone.alias("_gone")), "line-cuts")
+    keyed = source.select("_row", "_text", *text_key("_doc_id", "_text"))
     # Always by shuffle: the cuts grow with the input, so broadcasting them would not last.
     marked = keyed.join(cuts.hint("merge"), KEY, "left")
-    lines = F.split(F.col(text), "\n", -1)
-    gone = lambda i: F.exists("_runs", lambda r: (i >= r.first) & (i < r.last + LINES))
-    left = F.filter(lines, lambda line, i: ~gone(i))
-    removed = F.when(F.col("_runs").isNull(), 0).otherwise(F.size(lines) - F.size(left))
-    new_text = F.when(F.col("_runs").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
-    return marked.withColumns({"n_removed": removed.cast("long"), text: new_text}).select(*[F.col(f"`{c}`") for c in names], "n_removed")
+    marked = marked.withColumn("_lines", F.when(F.col("_gone").isNotNull(), F.split("_text", "\n", -1)))
+    # By hash and by place, so in time linear in the lines.
+    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
+    kept = F.when(F.col("_gone").isNotNull(), F.transform(left, lambda i: F.get("_lines", i)))
+    cut = marked.withColumn("_kept", kept)
+    removed = F.coalesce(F.size("_lines") - F.size("_kept"), F.lit(0)).cast("long")
+    new_text = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join("_kept", "\n"))
+    removed = F.when(F.col("_gone").isNull(), F.lit(0).cast("long")).otherwise(removed)
+    return cut.select(
+        *[new_text.alias(c) if c == text else F.col("_row").getField(c).alias(c) for c in names], removed.alias("n_removed"))
