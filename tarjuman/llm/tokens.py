@@ -41,6 +41,8 @@ BLOCKS_AT_ONCE = 32
 END_ID = 0
 MOST_REMEMBERED = 400_000
 MARKS = ".,!?;:"
+#: What a blank is in the vocabulary of a byte-level tokenizer.
+BLANK = "\u0120"
 
 #: What splits text before the merges of a byte-level BPE vocabulary.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -90,7 +92,10 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        mapped = word.encode().decode("latin-1").translate(self.bytes)
+        if word.isascii() and word[1:].isalpha() and word[0] == " ":
+            mapped = BLANK + word[1:]
+        else:
+            mapped = word.encode().decode("latin-1").translate(self.bytes)
         return array("I", [token.id for token in self.tokenizer.model.tokenize(mapped)]).tobytes()
 
     def _piece(self, word: str) -> bytes:
@@ -146,7 +151,8 @@ def encoder(path: str) -> Encoder:
 
 
 def encode_texts(docs: DataFrame, path: str, doc_id: str, text: str) -> DataFrame:
-    """``(part, seq, offset, doc_id, n, ids)`` in ascending order of doc_id within and over parts."""
+    """``(part, seq, offset, doc_id, n, ids)`` in ascending order of doc_id within and over parts,
+    and a row per task with ``used`` ids and their ``counts``."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     keys = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
@@ -156,19 +162,31 @@ def encode_texts(docs: DataFrame, path: str, doc_id: str, text: str) -> DataFram
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, seq, offset = TaskContext.get().partitionId(), 0, 0
+        total = np.zeros(0, np.int64)
         known = encoder(path)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             coded = [np.frombuffer(known.encode(t) + end, "<u4") for t in batch["text"]]
             n = np.array([len(ids) for ids in coded], np.int64)
+            own = np.bincount(np.concatenate(coded)) if coded else total[:0]
+            if len(own) > len(total):
+                own, total = total, own
+            total[:len(own)] += own
             yield pd.DataFrame({
                 "part": part, "seq": np.arange(seq, seq + len(n)), "offset": offset + np.cumsum(n) - n,
                 "doc_id": batch["doc_id"], "n": n, "ids": [ids.astype("<u2").tobytes() if ids.max() < 1 << 16
                                                            else ids.tobytes() for ids in coded],
+                "used": None, "counts": None,
             })
             seq, offset = seq + len(n), offset + int(n.sum())
+        used = np.flatnonzero(total)
+        yield pd.DataFrame({
+            "part": [part], "seq": -1, "offset": -1, "doc_id": None, "n": 0, "ids": None,
+            "used": [used], "counts": [total[used]],
+        })
 
-    return ordered.mapInPandas(encode, f"part int, seq long, offset long, doc_id {kind}, n long, ids binary")
+    return ordered.mapInPandas(
+        encode, f"part int, seq long, offset long, doc_id {kind}, n long, ids binary, used array<long>, counts array<long>")
 
 
 def ids_of(data: bytes, n: int) -> np.ndarray:
@@ -176,19 +194,9 @@ def ids_of(data: bytes, n: int) -> np.ndarray:
 
 
 def count_ids(coded: DataFrame) -> DataFrame:
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            for data, n in zip(batch["ids"], batch["n"]):
-                own = np.bincount(ids_of(data, n))
-                if len(own) > len(total):
-                    total = np.concatenate([total, np.zeros(len(own) - len(total), np.int64)])
-                total[:len(own)] += own
-        used = np.flatnonzero(total)
-        yield pd.DataFrame({"id": used, "count": total[used]})
-
-    counted = coded.select("n", "ids").mapInPandas(count, "id long, count long")
-    return counted.groupBy("id").agg(F.sum("count").alias("count"))
+    """``(id, count)`` over all texts, from one row per task of the encoding."""
+    counted = coded.where("used is not null").select(F.explode(F.arrays_zip("used", "counts")).alias("c"))
+    return counted.groupBy(F.col("c.used").alias("id")).agg(F.sum("c.counts").alias("count"))
 
 
 def shared_table(spark: SparkSession, folder: str):
@@ -209,6 +217,7 @@ def write_tokens(
     coded = spark.read.schema(coded.schema).parquet(between)
     count_ids(coded).write.parquet(f"{folder}/table")
     shared = shared_table(spark, folder)
+    coded = coded.where("used is null").drop("used", "counts")
     kind, names = coded.schema["doc_id"].dataType.simpleString(), coded.columns
 
     def blocks_of(batches: Iterator[pd.DataFrame]) -> Iterator[dict]:
@@ -301,8 +310,10 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
             names = ["part", "seq", "piece", "whole", "doc_id", "offset", "n", "crc"]
             yield pd.DataFrame(rows, columns=names).astype({"doc_id": object})
 
-    pieces = blocks.mapInPandas(
-        unpack, f"part int, seq long, piece int, whole boolean, doc_id {kind}, offset long, n long, crc long")
+    def pieces(of: str) -> DataFrame:
+        # Chosen by block, so that no block is decoded twice.
+        return blocks.where(of).mapInPandas(
+            unpack, f"part int, seq long, piece int, whole boolean, doc_id {kind}, offset long, n long, crc long")
 
     @F.pandas_udf("long")
     def joined_crc(crcs: pd.Series, lengths: pd.Series) -> pd.Series:
@@ -315,12 +326,12 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
         return pd.Series(totals, dtype="int64")
 
     # Documents of several blocks: their pieces' checksums are combined, their ids stay where they are.
-    cut = pieces.where("not whole").groupBy("part", "seq").agg(
+    cut = pieces("not whole").groupBy("part", "seq").agg(
         F.first("doc_id").alias("doc_id"), F.min("offset").alias("offset"), F.sum("n").alias("n"),
         F.array_sort(F.collect_list(F.struct("piece", "crc", "n"))).alias("p"),
     )
     cut = cut.select("part", "doc_id", "offset", "n", joined_crc("p.crc", "p.n").alias("crc"))
-    whole = pieces.where("whole").select("part", "doc_id", "offset", "n", "crc")
+    whole = pieces("whole").select("part", "doc_id", "offset", "n", "crc")
     sizes = blocks.groupBy("part").agg(F.sum("size").alias("size"))
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"))
