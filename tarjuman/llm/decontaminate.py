@@ -98,17 +98,20 @@ def find_contamination(
         kinds = [winnow(F.col("grams")) if n == WINDOW else F.array_distinct(gram_hashes(words, n)) for n in lengths]
         return df.select(*keep, F.explode(F.concat(*[F.coalesce(k, none) for k in kinds])).alias("fingerprint"))
 
-    source = docs.select(*[F.col(f"`{c}`") for c in names], F.col(doc_id).alias("_doc_id"))
-    keyed = source.select("*", *text_key("_doc_id", text)).drop("_doc_id")
-    counted = keyed.withColumn("n_words", F.size(words_of(F.col(text))).cast("long"))
+    # The caller's columns travel in one, so that their names are free.
+    row = F.struct(*[F.col(f"`{c}`") for c in names])
+    source = docs.select(row.alias("_row"), F.col(f"`{doc_id}`").alias("_doc_id"), F.col(f"`{text}`").alias("_text"))
+    own_columns = [F.col("_row").getField(c).alias(c) for c in names]
+    keyed = source.select("_row", "_text", *text_key("_doc_id", "_text"))
+    counted = keyed.withColumn("n_words", F.size(words_of(F.col("_text"))).cast("long"))
     if not lengths:
         return counted.select(
-            *[F.col(f"`{c}`") for c in names], "n_words", F.lit(0).cast("long").alias("n_hit"),
+            *own_columns, "n_words", F.lit(0).cast("long").alias("n_hit"),
             F.array().cast("array<struct<first:int,last:int>>").alias("spans"),
             F.array().cast("array<string>").alias("item_ids"), F.lit(False).alias("contaminated"),
         )
     marks = materialize(fingerprints(items).distinct(), "item-fingerprints")
-    texts = keyed.select(*KEY, words_of(F.col(text)).alias("words"))
+    texts = keyed.select(*KEY, words_of(F.col("_text")).alias("words"))
     # An item's fingerprints hold those of all windows it has; a longer document's may be found by others.
     near = fingerprints(texts, *KEY).join(small(marks, marks.count()), "fingerprint", "left_semi")
     near = materialize(near.select(*KEY).distinct(), "candidates")
@@ -134,7 +137,7 @@ def find_contamination(
     result = counted.join(materialize(found, "contaminated"), KEY, "left")
     hit = F.coalesce("_hit", F.lit(0))
     return result.select(
-        *[F.col(f"`{c}`") for c in names], "n_words", hit.cast("long").alias("n_hit"),
+        *own_columns, "n_words", hit.cast("long").alias("n_hit"),
         F.coalesce("_spans", F.array().cast("array<struct<first:int,last:int>>")).alias("spans"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         ((hit > 0) & (20 * hit >= F.col("n_words"))).alias("contaminated"),

@@ -89,19 +89,21 @@ def mix(
     """``docs`` with ``size``, ``source_size``, ``target`` and ``positions``: the training
     times of its copies, none for a document the mix leaves out.
 
-    Columns of these names, or starting with ``_mix``, are replaced.
+    Columns of these names are replaced.
     """
     names = [c for c in docs.columns if c not in ("size", "source_size", "target", "positions")]
     digits = 2
     while 16 ** digits * ROWS_PER_BUCKET < docs.count():
         digits += 1
+    own_id, own_text, own_source = (F.col(f"`{c}`") for c in (doc_id, text, source))
     sized = docs.select(
-        *[F.col(f"`{c}`") for c in names],
-        word_count(F.col(text)).alias("size"),
+        # The caller's columns travel in one, so that their names are free.
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        word_count(own_text).alias("size"), own_id.alias("_doc_id"),
+        F.coalesce(F.md5(own_text), F.lit("")).alias("_print"),
         # Null last: the key sorts by code point behind its mark.
-        F.when(F.col(source).isNull(), "1").otherwise(F.concat(F.lit("0"), F.col(source).cast("string")))
-        .alias("_source"),
-        F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).alias("_mix_hash"),
+        F.when(own_source.isNull(), "1").otherwise(F.concat(F.lit("0"), own_source.cast("string"))).alias("_source"),
+        F.md5(F.coalesce(own_id.cast("string"), F.lit(""))).alias("_mix_hash"),
     ).withColumn("_bucket", F.substring("_mix_hash", 1, digits))
     buckets = sized.groupBy("_source", "_bucket").agg(F.sum("size").alias("_own"))
     targets = source_targets(buckets.groupBy("_source").agg(F.sum("_own").alias("source_size")))
@@ -110,7 +112,7 @@ def mix(
     plan = offsets.drop("_own").join(targets, "_source")
     own = (
         W.partitionBy("_source", "_bucket")
-        .orderBy("_mix_hash", F.col(doc_id).asc_nulls_first(), F.coalesce(F.md5(text), F.lit("")))
+        .orderBy("_mix_hash", F.col("_doc_id").asc_nulls_first(), "_print")
         .rowsBetween(W.unboundedPreceding, -1)
     )
     placed = sized.withColumn("_before", F.coalesce(F.sum("size").over(own), F.lit(0)))
@@ -125,10 +127,10 @@ def mix(
         lambda place: place < F.col("target"),
     )
     positions = F.transform(places, lambda place: invert_demand(place / F.col("target"), knots))
-    return placed.select(
-        *[F.col(f"`{c}`") for c in names], "size", "source_size", "target",
-        positions.alias("positions"),
-    )
+    # In a step of its own, as the caller's columns below may be called like what it reads.
+    return placed.withColumn("positions", positions).select(
+        "size", "source_size", "target", "positions", "_row",
+    ).select(*[F.col("_row").getField(c).alias(c) for c in names], "size", "source_size", "target", "positions")
 
 
 def training_order(mixed: DataFrame) -> DataFrame:

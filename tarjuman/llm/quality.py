@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarjuman.llm.common import small_batches
+from tarjuman.operators.shape import free_name
 from tarjuman.workspace import materialize
 
 SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -245,5 +246,6 @@ def judge(docs: DataFrame, references: References, text: str = "text") -> DataFr
             rows.append((*counts, failed, by_class, by_word, not failed and near))
         return pd.DataFrame(rows, columns=list(OUTPUT))
 
-    kept = docs.drop(*OUTPUT).withColumn("_quality", rules(F.col(text)))
-    return kept.withColumns({k: F.col(f"_quality.{k}") for k in OUTPUT}).drop("_quality")
+    found = free_name(docs.columns, "_quality")
+    kept = docs.drop(*OUTPUT).withColumn(found, rules(F.col(f"`{text}`")))
+    return kept.withColumns({k: F.col(found).getField(k) for k in OUTPUT}).drop(found)

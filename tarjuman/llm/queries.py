@@ -40,22 +40,40 @@ def query(name: str, sql: str | None = None):
         from sources
         window before as (order by 3 * source_size / w, s rows between unbounded preceding and 1 preceding)),
     targets as (
-        select s, source_size,
+        select s, source_size, w,
                least(most::double, max((total - full_)::double / (weights - past)::double) over () * w) target
         from filled),
     placed as (
-        select doc_id, size, source_size, target, coalesce(sum(size) over (
+        select doc_id, size, source_size, target, w, coalesce(sum(size) over (
                    partition by s order by h, doc_id nulls first, t
                    rows between unbounded preceding and 1 preceding), 0) + size / 2 middle
         from sized join targets using (s))
+    -- The first training time: the demand curve of the source's weight class, two straight
+    -- pieces of half the time each, inverted at the document's share of the target.
+    timed as (
+        select *, [1.5, 1.0, 0.5][w] a, 1.0::double b, [0.5, 1.0, 1.5][w] c,
+               middle / target * ((a + b) / 2 * 0.5::double + (b + c) / 2 * 0.5::double) used,
+               (a + b) / 2 * 0.5::double early
+        from placed),
+    rooted as (
+        select *, sqrt(greatest(a * a + 2 * ((b - a) / 0.5::double) * used, 0.0::double)) r1,
+               sqrt(greatest(b * b + 2 * ((c - b) / 0.5::double) * (used - early), 0.0::double)) r2
+        from timed)
     select doc_id, size, source_size, target,
            (size * ((middle < target)::int + (middle + source_size < target)::int
-                    + (middle + 2 * source_size < target)::int))::bigint taken
-    from placed""")
+                    + (middle + 2 * source_size < target)::int))::bigint taken,
+           case when middle < target then round(1e6 * case
+                when used < early then 2 * used / (a + r1)
+                else 0.5::double + 2 * (used - early) / (b + r2) end)::bigint end first_micros
+    from rooted""")
 def op3_mixing(spark, sf_dir):
     mixed = mixing.mix(documents(spark, sf_dir))
     taken = (F.col("size") * F.size("positions")).cast("long")
-    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    first = F.round(F.get("positions", F.lit(0)) * 1e6).cast("long")
+    ordered = mixed.withColumn("first_micros", first)
+    # In training order; what the mix leaves out comes first.
+    ordered = ordered.repartitionByRange("first_micros").sortWithinPartitions("first_micros")
+    return ordered.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "first_micros")
 
 
 @query("op10_url_filter")

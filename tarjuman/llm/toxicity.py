@@ -190,7 +190,9 @@ def score(docs: DataFrame, scorer: Scorer, text: str = "text") -> DataFrame:
     names = [c for c in docs.columns if c != "score"]
     if scorer.trees is None:
         return docs.select(*[F.col(f"`{c}`") for c in names], F.lit(scorer.share).alias("score"))
-    margins = with_margin(scorer.trees.transform(with_features(docs.select(*[F.col(f"`{c}`") for c in names]), scorer.learned, text)))
+    # The caller's columns travel in one, so that their names are free.
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(f"`{text}`").alias("_text"))
+    margins = with_margin(scorer.trees.transform(with_features(packed, scorer.learned, "_text")))
     rated = scorer.calibration.transform(margins)
     bounded = F.least(F.greatest(F.col("_toxic_score"), F.lit(0.0)), F.lit(1.0))
-    return rated.select(*[F.col(f"`{c}`") for c in names], bounded.alias("score"))
+    return rated.select(*[F.col("_row").getField(c).alias(c) for c in names], bounded.alias("score"))

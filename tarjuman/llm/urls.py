@@ -17,6 +17,23 @@ from pyspark.sql import functions as F
 
 from tarjuman.llm.common import ascii_lower
 
+#: What the model learns by default: (host, path, block), a small table of its own, so that a
+#: URL's verdict does not depend on the other pages.
+LABELLED = (
+    ("en.example.org", "/wiki/history", 0), ("library.example.edu", "/catalogue/12.html", 0),
+    ("docs.example.net", "/en/guide/7", 0), ("www.example.com", "/fr/article/31", 0),
+    ("blog.example.net", "/en/2024/notes", 0), ("news.example.org", "/en/story/88", 0),
+    ("science.example.edu", "/papers/5", 0), ("www.example.net", "/en/recipes/3.html", 0),
+    ("example.com", "/fr/histoire/9", 0), ("forum.example.net", "/fr/question/45", 0),
+    ("archive.example.org", "/fr/livre/2", 0), ("www.example.edu", "/lectures/1", 0),
+    ("ads.example.com", "/click/9981", 1), ("track.example.net", "/pixel.gif", 1),
+    ("casino.example.com", "/bonus/777", 1), ("www.example.com", "/de/gewinnspiel/5", 1),
+    ("shop.example.com", "/de/angebot/12", 1), ("login.example.net", "/signin/reset", 1),
+    ("cdn.example.com", "/banner/300x250.js", 1), ("popup.example.net", "/win/free/1", 1),
+    ("example.com", "/de/kredit/4", 1), ("cheap-pills.example.com", "/order/2", 1),
+    ("dating.example.net", "/join/now", 1), ("download.example.com", "/crack/setup.exe", 1),
+)
+
 #: (host, path, verdict)
 RULES = (
     ("org", "/", "allow"),
@@ -62,20 +79,18 @@ def char_grams(host: Column, path: Column, orders=GRAMS) -> Column:
 def judge(pages: DataFrame, url: str = "url", rules=RULES, labelled: DataFrame | None = None) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``score`` (that it is blocked) and ``verdict``.
 
-    ``labelled`` (host, path, block as 0.0 or 1.0) is what the model learns; by default
-    the URLs of ``pages`` that a rule decides.
+    ``labelled`` (host, path, block as 0.0 or 1.0) is what the model learns, by default
+    the table ``LABELLED``.
     """
     names = [c for c in pages.columns if c not in ("host", "path", "rule", "score", "verdict")]
-    parsed = pages.select(
-        *[F.col(f"`{c}`") for c in names], host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path")
-    )
+    # The caller's columns travel in one, so that their names are free.
+    row = F.struct(*[F.col(f"`{c}`") for c in names]) if names else F.struct(F.lit(0).alias("none"))
+    own = F.col(f"`{url}`")
+    parsed = pages.select(row.alias("_row"), host_of(own).alias("host"), path_of(own).alias("path"))
     ruled = parsed.withColumn("_rule", longest_rule(F.col("host"), F.col("path"), rules))
     if labelled is None:
-        labelled = (
-            ruled.where(F.col("_rule").isNotNull())
-            .select("host", "path", (F.col("_rule.verdict") == "block").cast("double").alias("block"))
-            .distinct()
-        )
+        labelled = pages.sparkSession.createDataFrame(
+            [(h, p, float(b)) for h, p, b in LABELLED], "host string, path string, block double")
     few = labelled.orderBy(F.xxhash64("host", "path"), "host", "path").limit(MOST_LABELLED)
     hashing = HashingTF(inputCol="_grams", outputCol="_features", numFeatures=DIMENSIONS)
     train = hashing.transform(few.withColumn("_grams", char_grams(F.col("host"), F.col("path")))).coalesce(4)
@@ -91,6 +106,6 @@ def judge(pages: DataFrame, url: str = "url", rules=RULES, labelled: DataFrame |
         scored = ruled.withColumn("score", F.lit(max(kinds, default=0.0)))
     own = F.when(F.col("score") >= 0.5, "block").otherwise("allow")
     return scored.select(
-        *[F.col(f"`{c}`") for c in names], "host", "path", F.col("_rule.rule").alias("rule"),
+        *[F.col("_row").getField(c).alias(c) for c in names], "host", "path", F.col("_rule.rule").alias("rule"),
         "score", F.coalesce(F.col("_rule.verdict"), own).alias("verdict"),
     )
