@@ -47,7 +47,7 @@ def query(name: str, sql: str | None = None):
         select doc_id, size, source_size, target, w, coalesce(sum(size) over (
                    partition by s order by h, doc_id nulls first, t
                    rows between unbounded preceding and 1 preceding), 0) + size / 2 middle
-        from sized join targets using (s))
+        from sized join targets using (s)),
     -- The first training time: the demand curve of the source's weight class, two straight
     -- pieces of half the time each, inverted at the document's share of the target.
     timed as (
