@@ -1,4 +1,9 @@
-"""Connected components of a link table, by minimum labels with pointer jumping."""
+"""Connected components of a link table, by minimum labels with pointer jumping.
+
+Defined cases: links of a node with itself and links with a null end are left out; repeated
+links, and links in both directions, count once; an empty table gives no labels; a node with
+very many links is one row per link, of which only minima are shuffled.
+"""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
