@@ -1,4 +1,11 @@
-"""The corpus pipeline: stages over documents, each on what its predecessor kept."""
+"""The corpus pipeline: stages over documents, each on what its predecessor kept.
+
+Every stage but the last returns the columns it was given, whatever else they are called.
+Defined cases: rows without a text, or without a letter, have no language and go in the
+first stage; rows without an id are rows like others; rows equal in id and text are one
+document from the second stage on; ties go to the smaller id, then to the text hash; an
+empty table passes through all stages as an empty one.
+"""
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
