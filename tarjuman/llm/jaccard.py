@@ -60,7 +60,7 @@ def powers(base: int, n: int) -> np.ndarray:
     known = _POWERS.get(base, np.ones(1, np.uint64))
     while len(known) < n:
         known = np.concatenate([known, known * np.uint64(pow(base, len(known), 1 << 64))])
-    if len(known) <= 1 << 22:
+    if len(known) <= 1 << 19:
         _POWERS[base] = known
     return known[:n]
 
@@ -218,17 +218,22 @@ def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
 
 
-def texts_of(docs: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
-    """``(text)`` of the documents that stand for ``(class)``, and few others: one text hash
-    per class goes into a bitmap of fixed size."""
+def sets_of(docs: DataFrame, sets: DataFrame, classes: DataFrame, compute, schema: str) -> DataFrame:
+    """``compute`` of the sets of the documents that stand for ``(class)``, and of few others.
+
+    One text hash per class goes into a bitmap of fixed size; only texts that it has are
+    shingled. Texts are looked up and shingled by one worker, which keeps memory down.
+    """
     wanted = sets.join(classes, "class", "left_semi").groupBy("class").agg(F.min("text_hash").alias("text_hash"))
     likely = bitmap_of(wanted, "text_hash")
 
-    @F.pandas_udf("boolean")
-    def hit(hashes: pd.Series) -> pd.Series:
-        return pd.Series(in_bitmap(likely.value, hashes.to_numpy(np.int64).view(np.uint64)))
+    def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            hit = in_bitmap(likely.value, batch["text_hash"].to_numpy(np.int64).view(np.uint64))
+            if hit.any():
+                yield compute([shingles(t) for t in batch["text"][hit]])
 
-    return docs.where("text is not null").where(hit("text_hash")).select("text")
+    return docs.where("text is not null").select("text", "text_hash").mapInPandas(shingled, schema)
 
 
 def star_pairs(docs: DataFrame, sets: DataFrame, levels) -> DataFrame:
@@ -238,16 +243,14 @@ def star_pairs(docs: DataFrame, sets: DataFrame, levels) -> DataFrame:
     several = keyed.groupBy("k", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
     keyed = materialize(keyed.join(several, ["k", "key"]), "keyed")
 
-    def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            own = [shingles(t) for t in batch["text"]]
-            yield pd.DataFrame({
-                "class": [class_of(s) for s in own],
-                "common": [float(levels.value[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].mean())
-                           if len(s) else 0.0 for s in own],
-            })
+    def rate(own: list[np.ndarray]) -> pd.DataFrame:
+        return pd.DataFrame({
+            "class": [class_of(s) for s in own],
+            "common": [float(levels.value[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].mean())
+                       if len(s) else 0.0 for s in own],
+        })
 
-    rated = texts_of(docs, sets, keyed.select("class").distinct()).mapInPandas(rate, "class long, common double")
+    rated = sets_of(docs, sets, keyed.select("class").distinct(), rate, "class long, common double")
     rated = materialize(rated.groupBy("class").agg(F.first("common").alias("common")), "rated")
     keyed = keyed.join(rated, "class")
     leaders = keyed.groupBy("k", "key").agg(
@@ -275,13 +278,11 @@ def verified(docs: DataFrame, pairs: DataFrame, sets: DataFrame) -> DataFrame:
     wanted = materialize(
         pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct(), "compared")
 
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            own = [shingles(t) for t in batch["text"]]
-            yield pd.DataFrame({"class": [class_of(s) for s in own], "set": [s.tobytes() for s in own]})
+    def hashed(own: list[np.ndarray]) -> pd.DataFrame:
+        return pd.DataFrame({"class": [class_of(s) for s in own], "set": [s.tobytes() for s in own]})
 
     # Only classes that are compared are kept, each once; most others are not even shingled.
-    compared = texts_of(docs, sets, wanted).mapInPandas(hashed, "class long, set binary")
+    compared = sets_of(docs, sets, wanted, hashed, "class long, set binary")
     compared = compared.join(wanted, "class", "left_semi").dropDuplicates(["class"])
     compared = materialize(compared, "compared-sets")
 
