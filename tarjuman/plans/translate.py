@@ -16,7 +16,7 @@ from tarjuman.operators.shape import (
     cell_text, pivot_cells, row_hash, translated_names, unpivot_cells,
 )
 from tarjuman.operators.skew import hot_keys, salted_join
-from tarjuman.operators.terms import as_mapping
+from tarjuman.operators.terms import as_mapping, is_long, replace_terms
 from tarjuman.workspace import materialize, new_folder
 
 CELL_COLUMNS = {"column", "text", "text_key", "translation", "api"}
@@ -64,6 +64,18 @@ def distinct_requests(
     )
 
 
+def _written_requests(
+    df: DataFrame, columns: Sequence[str], null_policy: str, terms: bool,
+    custom_terms: Mapping[str, str] | DataFrame | None,
+) -> DataFrame:
+    """The table of distinct requests, with terms from a mapping or a table of any size."""
+    if not (terms and is_long(custom_terms)):
+        found = distinct_requests(df, columns, null_policy, terms, as_mapping(custom_terms) if terms else None)
+        return materialize(found, "requests")
+    cleaned = materialize(distinct_requests(df, columns, null_policy, terms=False), "requests")
+    return replace_terms(cleaned, "text_key", custom_terms)
+
+
 def translate(
     df: DataFrame,
     columns: Sequence[str],
@@ -97,8 +109,7 @@ def translate(
     """
     spark = df.sparkSession
     df, columns, key = checked_columns(df, columns, key, suffix)
-    found = distinct_requests(df, columns, null_policy, terms, as_mapping(custom_terms))
-    requests = materialize(found, "requests")
+    requests = _written_requests(df, columns, null_policy, terms, custom_terms)
 
     lasting = progress_folder or new_folder(spark, "progress")
     latest = progress.latest_batch(spark, lasting)
@@ -171,8 +182,7 @@ def translate_part(
     """
     spark = df.sparkSession
     df, columns, key = checked_columns(df, columns, key, suffix)
-    found = distinct_requests(df, columns, null_policy, terms, as_mapping(custom_terms))
-    requests = materialize(found, "requests")
+    requests = _written_requests(df, columns, null_policy, terms, custom_terms)
     keys = requests.select("text_key")
     if progress.latest_batch(spark, memory) is None:
         known = outcomes(spark.createDataFrame([], ATTEMPTS))

@@ -78,3 +78,30 @@ def test_a_merged_table_feeds_a_run(spark):
     assert {r["id"]: r["t_ar"] for r in table.collect()} == {r["id"]: r["t_ar"] for r in plain_table.collect()}
     merged = terms.merge_terms(terms.default_terms(spark), custom)
     assert len(terms.terms_as_mapping(merged)) == 10_013
+
+
+def test_a_long_table_equals_the_mapping(spark, monkeypatch):
+    """Terms that lead to others, repeated ones and odd cases; nothing is collected."""
+    rng = random.Random(5)
+    custom = mapping(rng, 60)
+    chained = {f"{c}{i}": f"{c}{i + 1}" for c in "pq" for i in range(9, 12)}
+    custom = {**custom, **chained, "big one": "p9 q9", "ChatGPT": "big one", "ͅ": "x", "ͅa": "b", "zι": "y"}
+    ordered = T.ordered_terms(custom)
+    texts = sorted({"".join(rng.choices([*PIECES, "ͅ", "z", *(t for t, _ in ordered)], k=rng.randint(0, 25))) for _ in range(500)})
+    rows = [(t, r, i) for i, (t, r) in enumerate(custom.items())]
+    rows += [(rows[3][0], rows[3][1], 900), ("", "nothing", 901), (None, "nothing", 902)]
+    table = spark.createDataFrame(rows, "term string, replacement string, rank long")
+    prompts = spark.createDataFrame(list(enumerate([*texts, None])), "k int, prompt string")
+    monkeypatch.setattr(terms, "terms_as_mapping", None)
+    assert terms.is_long(table) and not terms.is_long(table.limit(64)) and not terms.is_long(custom)
+    got = {r["k"]: r["prompt"] for r in terms.replace_terms(prompts, "k", table).collect()}
+    search = TermSearch(ordered)
+    assert got == {i: search.replace(t) for i, t in enumerate(texts)} | {len(texts): None}
+
+
+def test_a_run_does_not_collect_a_long_table(spark, monkeypatch):
+    monkeypatch.setattr(terms, "terms_as_mapping", None)
+    custom = spark.range(200).selectExpr("concat('term', id) as term", "nullif(concat('word ', id), 'word 7') as replacement", "id as `rank`")
+    df = spark.createDataFrame([(1, "use TERM12"), (2, "term7"), (3, "plain")], "id long, t string")
+    table = translate_table(df, ["t"], [transliterator("p")], ["id"], custom_terms=custom)
+    assert {r["id"]: r["t_ar"] is None for r in table.collect()} == {1: False, 2: True, 3: False}
