@@ -232,3 +232,55 @@ def test_a_task_that_dies_and_is_run_again_keeps_the_limit(tmp_path):
 
 def test_stand_in_for_lists():
     assert transliterating_lists()(["ab", "B"]) == ["اب", "ب"]
+
+
+def test_slow_calls_are_sent_in_one_pass(spark, tmp_path):
+    """Calls that take longer than planned go on at later places; nothing is written again."""
+    def client():
+        def call(texts):
+            time.sleep(0.3)
+            return [f"{time.time() - 0.3}"] * len(texts)
+
+        return call
+
+    log = str(tmp_path / "log")
+    provider = CallProvider("p", client, per_minute=4, window=1, lanes=2, many=True, max_items=2, lead=0.5,
+                            slack=0.05, log=log)
+    provider = calls.replace(provider, per_minute=20)
+    frame = provider.answer(prompts_of(spark, [f"t{i}" for i in range(60)], 3))
+    assert frame.count() == 60 and frame.where("success").count() == 60
+    times = sorted(set(times_of(frame)))
+    check_windows(times, 20, 0.99)
+    logged = call_log(spark, log)
+    assert {r["pass"] for r in logged.collect()} == {0} and logged.where("made").count() == len(times)
+
+
+def test_places_are_used_once_a_window():
+    places = calls.Places(1.0, 0.1)
+    places.add([10.0, 10.5])
+    assert [places.take(9.0), places.take(9.0), places.take(9.0)] == [10.0, 10.5, 11.0]
+    assert places.take(14.7) == 15.0 and places.take(14.7) == 15.5
+    again = calls.Places(1.0, 0.1, since=12.2)
+    again.add([10.0, 12.19])
+    assert [again.take(12.2), again.take(12.2)] == [13.0, 13.19]
+
+
+def test_a_run_that_died_late_may_have_used_its_places_again(spark, tmp_path):
+    log, now = str(tmp_path / "log"), time.time()
+    planned = [("p", now - 60.5, True), ("p", now - 60.4, True)]
+    spark.createDataFrame(planned, "api string, start double, made boolean").write.parquet(f"{log}/pass=0/state=planned")
+    recent = calls.recent_calls(spark, log, "p", 2, now - 3, now).collect()
+    assert len(recent) == 2 and all(now - 3 <= r["_last"] <= now for r in recent)
+
+
+def test_batches_are_answered_in_pieces():
+    batch = pd.DataFrame({"prompt": ["a" * 10, None, "b" * 25, "c"] * 3, "i": range(12)})
+    parts = list(calls.pieces([batch, batch.iloc[:0]], 3, 30))
+    assert pd.concat(parts)["i"].tolist() == list(range(12)) and max(map(len, parts)) <= 3
+    assert all(sum(len(p or "") for p in part["prompt"]) <= 30 or len(part) == 1 for part in parts)
+
+
+def test_tasks_answer_pieces_of_a_batch(monkeypatch):
+    rows = pd.DataFrame({"prompt": ["x"] * 2500})
+    told = list(CallProvider("p", transliterating_lists, many=True)._caller()(iter([rows])))
+    assert [len(t) for t in told] == [1000, 1000, 500] and sum(t["success"].sum() for t in told) == 2500
