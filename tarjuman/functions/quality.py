@@ -16,9 +16,14 @@ def has_script(text: Column, script: str = fixed.ARABIC) -> Column:
 
 def script_ratio(text: Column, script: str = fixed.ARABIC) -> Column:
     """Share of ``script`` among the characters that are not whitespace."""
-    others = F.length(F.regexp_replace(text, f"[{script}]+", ""))
-    visible = F.length(F.regexp_replace(text, f"[{fixed.WHITESPACE}]+", ""))
-    return (F.length(text) - others) / F.greatest(visible, F.lit(1))
+    others = F.regexp_replace(text, f"[{script}]+", "")
+    inside = F.length(text) - F.length(others)
+    if script == fixed.ARABIC:
+        # No blank is in the script: only what is left of the text has any, mostly a small part.
+        visible = inside + F.length(F.regexp_replace(others, f"[{fixed.WHITESPACE}]+", ""))
+    else:
+        visible = F.length(F.regexp_replace(text, f"[{fixed.WHITESPACE}]+", ""))
+    return inside / F.greatest(visible, F.lit(1))
 
 
 def has_mojibake(text: Column) -> Column:
@@ -53,8 +58,9 @@ def quality_checks(
 def is_valid(checks: dict[str, Column]) -> Column:
     """All checks hold; a missing reply is not valid."""
     verdict = F.lit(True)
-    for check in checks.values():
-        verdict = verdict & check
+    # The dearest check comes last: it is made only where the others hold.
+    for name in sorted(checks, key=lambda name: name == "arabic_ratio_ok"):
+        verdict = verdict & checks[name]
     return F.coalesce(verdict, F.lit(False))
 
 

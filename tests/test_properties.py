@@ -113,3 +113,22 @@ def test_guard_does_not_change_terms(table):
         chain = F.regexp_replace(chain, pattern, new)
     guarded = text.normalize_terms(F.col("text"))
     assert table.where(~guarded.eqNullSafe(chain)).count() == 0
+
+
+def test_blanks_are_sought_in_what_the_script_leaves(spark):
+    """The dear part of the script share sees the few other characters, not the text again."""
+    texts = ["اب جد", "ab اب\t x", "  ", "", None, "اب؟ ۱ ݐࢠ", "Ã©　ا"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plan = df.select(quality.script_ratio(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace(regexp_replace(" in plan
+    other = f"{fixed.ARABIC}A-Z"
+    got = df.select(quality.script_ratio(F.col("t")), quality.script_ratio(F.col("t"), other)).collect()
+    assert all(a == b for a, b in got)
+
+
+def test_scripted_replies_are_transliterated_once_a_document(spark, tmp_path):
+    from catalog import inputs
+
+    spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    plan = inputs.candidates(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(lower(") == 1
