@@ -66,8 +66,10 @@ def is_valid(checks: dict[str, Column]) -> Column:
 
 def normalize_arabic(text: Column) -> Column:
     """Fold alef forms, collapse whitespace, strip the ends; null becomes empty."""
-    folded = F.regexp_replace(text, f"[{fixed.ALEF_FORMS}]", fixed.ALEF)
-    single = F.regexp_replace(folded, f"[{fixed.WHITESPACE}]+", " ")
+    folded = F.regexp_replace(text, fixed.ALEF_PATTERN, fixed.ALEF)
+    # All runs of blanks but the single spaces, which stay as they are.
+    blank = f"[{fixed.WHITESPACE}]"
+    single = F.regexp_replace(folded, f"{blank}(?:(?<! ){blank}*|{blank}+)", " ")
     return F.coalesce(F.trim(single), F.lit(""))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from tarjuman import fixed
-from tarjuman.functions.text import preprocess
+from tarjuman.functions.text import clean_text, normalize_terms
 from tarjuman.operators import progress
 from tarjuman.operators.rounds import ATTEMPTS, outcomes, run_rounds
 from tarjuman.operators.shape import (
@@ -56,12 +56,17 @@ def distinct_requests(
     counted = cells.where(F.col("text").isNotNull()).groupBy("text").agg(
         F.count(F.lit(1)).alias("n_cells")
     )
-    return counted.select(
+    cleaned = counted.select(
         text_key(F.col("text")).alias("text_key"),
-        preprocess(F.col("text"), terms, custom_terms).alias("prompt"),
+        clean_text(F.col("text")).alias("prompt"),
         F.length("text").alias("original_length"),
         "n_cells",
     )
+    if not terms:
+        return cleaned
+    # A step of its own: within the aggregate the cleaning would run again for each use.
+    prompt = normalize_terms(F.col("prompt"), custom_terms)
+    return cleaned.select("text_key", prompt.alias("prompt"), "original_length", "n_cells")
 
 
 def _written_requests(

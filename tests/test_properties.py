@@ -132,3 +132,22 @@ def test_scripted_replies_are_transliterated_once_a_document(spark, tmp_path):
     spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     plan = inputs.candidates(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("translate(lower(") == 1
+
+
+def test_single_spaces_and_alef_forms(spark):
+    rng = random.Random(4)
+    pieces = [*fixed.WHITESPACE_CHARS, " ", " ", " ", "ab", "ا", *map(chr, range(0x61e, 0x62a))]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 12))) for _ in range(2000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for row in df.select("t", quality.normalize_arabic(F.col("t")).alias("v")).collect():
+        folded = re.sub(f"[{fixed.ALEF_FORMS}]", fixed.ALEF, row["t"])
+        assert row["v"] == re.sub(f"[{re.escape(fixed.WHITESPACE_CHARS)}]+", " ", folded).strip(" ")
+
+
+def test_a_request_is_cleaned_once(spark):
+    """The aggregate cleans, a step of its own looks for terms in what was cleaned."""
+    from tarjuman.plans.translate import distinct_requests
+
+    plan = distinct_requests(spark.createDataFrame([("a",)], "t string"), ["t"])
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count(fixed.CONTROL) == 1
