@@ -19,13 +19,17 @@ are not written.
 import json
 import os
 import re
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -39,25 +43,24 @@ from tarjuman.workspace import new_folder
 BLOCK = 1 << 16
 BLOCKS_AT_ONCE = 32
 END_ID = 0
-MOST_REMEMBERED = 400_000
-MARKS = ".,!?;:"
+#: Words of letters, and other pieces, that are remembered at least, if they are no longer than this.
+MOST_WORDS, MOST_OTHERS, LONGEST = 600_000, 100_000, 64
+#: Characters of the texts that are encoded together.
+TOGETHER = 1 << 22
+MARKS = string.punctuation
 #: What a blank is in the vocabulary of a byte-level tokenizer.
 BLANK = "\u0120"
+#: The first character whose class is left to the library.
+BEYOND = "\u0250"
 
 #: What splits text before the merges of a byte-level BPE vocabulary.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: A blank between other characters starts a pre-token; blanks beside white space may not.
 SINGLE = re.compile(r"(?<=\S) (?=\S)")
-RARE_WHITE = re.compile(r"[\x0b\x0c\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-
-
-def is_uneven(text: str) -> bool:
-    """Whether a blank of ``text`` may be at an end or beside white space."""
-    return (
-        text[0] == " " or text[-1] == " " or "  " in text or " \n" in text or "\n " in text
-        or "\t" in text or "\r" in text or (not text.isascii() and RARE_WHITE.search(text) is not None)
-        or "\x0b" in text or "\x0c" in text
-    )
+#: Arrow's pattern of a text with a blank that may be at an end or beside white space.
+UNEVEN = "^ | $|  | \n|\n |[\t\r\x0b\x0c\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: Arrow's pattern of what libraries may or may not take for white space.
+ODD = "[\x1c-\x1f\x85\u180e\u200b-\u200d\u2060\ufeff]"
 
 
 class Encoder:
@@ -65,8 +68,10 @@ class Encoder:
 
     With byte-level BPE, a piece between single blanks is encoded alike in any text, so
     each distinct piece goes through the library once: its own pre-tokens straight to
-    the model if all its characters are below U+0250, else as a small text. Texts with
-    added tokens or odd white space, and other kinds of tokenizers, are encoded whole.
+    the model if all its characters are below U+0250, else as a small text. Arrow splits
+    many texts at once and finds their distinct pieces, which are looked up once for all.
+    Texts with added tokens or odd white space, and other kinds of tokenizers, are
+    encoded whole.
     """
 
     def __init__(self, path: str):
@@ -81,64 +86,117 @@ class Encoder:
             and not pre.get("add_prefix_space") and layout["model"]["type"] == "BPE"
             and not layout["model"].get("dropout")
         )
-        added = [re.escape(t["content"]) for t in layout["added_tokens"]]
-        self.whole = re.compile("|".join([r"[\x1c-\x1f\x85\u180e\u200b-\u200d\u2060\ufeff]", *added]))
-        self.pieces, self.other = Remembered(self._piece), Remembered(self._word)
+        self.whole = "|".join([ODD, *(re.escape(t["content"]) for t in layout["added_tokens"])])
+        self.words = Remembered(self._letters, MOST_WORDS)
+        self.mixed, self.other = Remembered(self._mixed, MOST_OTHERS), Remembered(self._word, MOST_OTHERS)
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [b for b in range(256) if b not in plain]
         self.bytes = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
+        self.tokenize = self.tokenizer.model.tokenize
 
     def _text(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        if word.isascii() and word[1:].isalpha() and word[0] == " ":
-            mapped = BLANK + word[1:]
-        else:
-            mapped = word.encode().decode("latin-1").translate(self.bytes)
-        return array("I", [token.id for token in self.tokenizer.model.tokenize(mapped)]).tobytes()
-
-    def _piece(self, word: str) -> bytes:
-        """The ids of a blank and ``word``, which has no single blank in it."""
-        # Most are letters, or letters with one mark at the end.
-        if word.isalpha() and (word.isascii() or max(word) < "\u0250"):
-            return self._word(" " + word)
-        if word[-1:] in MARKS and word[:-1].isalpha():
-            return self.pieces[word[:-1]] + self.other[word[-1]]
-        return self._parts(" " + word)
+        """The ids of one pre-token."""
+        return self._model(word.encode().decode("latin-1").translate(self.bytes))
+
+    def _model(self, mapped: str) -> bytes:
+        return array("I", [token.id for token in self.tokenize(mapped)]).tobytes()
+
+    def _letters(self, word: str) -> bytes:
+        """The ids of a blank and ``word``, which has only letters."""
+        if word.isascii():
+            return self._model(BLANK + word)
+        return self._word(" " + word) if max(word) < BEYOND else self._text(" " + word)
+
+    def _mixed(self, piece: str) -> bytes:
+        """The ids of a blank and ``piece``, which has no single blank in it."""
+        if not piece.isascii() and max(piece) >= BEYOND:
+            return self._text(" " + piece)
+        # Most are letters with marks at the end, or end one line and begin another.
+        line, end, rest = piece.partition("\n")
+        word = line.rstrip(MARKS)
+        if word.isalpha() and (not end or rest.isalpha()):
+            others = [part for part in (line[len(word):], end, rest) if part]
+            return self.words[word] + b"".join([self.other[part] for part in others])
+        return self._parts(" " + piece)
 
     def _parts(self, piece: str) -> bytes:
-        if not piece.isascii() and max(piece) >= "\u0250":
+        if not piece.isascii() and max(piece) >= BEYOND:
             return self._text(piece)
         return b"".join([
-            self.pieces[part[1:]] if part[0] == " " and part[1:].isalpha() else self.other[part]
+            self.words[part[1:]] if part[0] == " " and part[1:].isalpha() else self.other[part]
             for part in WORDS.findall(piece)
         ])
 
+    def _split(self, texts: pa.ListArray) -> list[np.ndarray]:
+        """The ids of texts that are given as their pieces, at least one each."""
+        bounds = texts.offsets.to_numpy()
+        pieces = texts.flatten()
+        # No blank belongs to a text's first piece.
+        first = np.zeros(len(pieces), bool)
+        first[bounds[:-1]] = True
+        coded = pieces.filter(pa.array(~first)).dictionary_encode()
+        words, mixed = self.words, self.mixed
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = [words[piece] if piece.isalpha() else mixed[piece] for piece in distinct]
+        which = np.empty(len(pieces), np.int64)
+        which[~first] = coded.indices.to_numpy()
+        which[first] = np.arange(len(found), len(found) + len(texts))
+        found += map(self._parts, pieces.filter(pa.array(first)).to_numpy(zero_copy_only=False))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        n = sizes[which]
+        ends = np.cumsum(n)
+        at = np.repeat(starts[which] - (ends - n), n)
+        at += np.arange(len(at))
+        ids = np.frombuffer(b"".join(found), "<u4")[at]
+        return np.split(ids, ends[bounds[1:-1] - 1])
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        column = pa.array(texts, pa.large_string())
+        whole = pc.match_substring_regex(column, self.whole).to_numpy(zero_copy_only=False)
+        whole |= pc.equal(column, "").to_numpy(zero_copy_only=False) | (not self.by_piece)
+        uneven = pc.match_substring_regex(column, UNEVEN).to_numpy(zero_copy_only=False) & ~whole
+        even = ~whole & ~uneven
+        coded: list = [None] * len(texts)
+        for i in np.flatnonzero(whole):
+            coded[i] = np.frombuffer(self._text(texts[i]), "<u4")
+        if uneven.any():
+            places = np.flatnonzero(uneven)
+            split = pa.array([SINGLE.split(texts[i]) for i in places], pa.large_list(pa.large_string()))
+            for i, ids in zip(places, self._split(split)):
+                coded[i] = ids
+        if even.any():
+            split = pc.split_pattern(column if even.all() else column.filter(pa.array(even)), " ")
+            for i, ids in zip(np.flatnonzero(even), self._split(split)):
+                coded[i] = ids
+        return coded
+
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if not text or not self.by_piece or self.whole.search(text):
-            return self._text(text)
-        parts = SINGLE.split(text) if is_uneven(text) else text.split(" ")
-        first = self._parts(parts[0])
-        return first + b"".join(map(self.pieces.__getitem__, parts[1:]))
+        return self.encode_all([text])[0].tobytes()
 
 
 class Remembered(dict):
-    """Results of ``compute`` by argument, those of the last ``MOST_REMEMBERED`` or more arguments.
+    """Results of ``compute`` by argument, those of the last ``most`` or more short arguments.
 
     A full dictionary becomes the old one, which is looked into once more before it goes.
     """
 
-    def __init__(self, compute):
+    def __init__(self, compute, most: int):
         super().__init__()
-        self.compute, self.old = compute, {}
+        self.compute, self.most, self.old = compute, most, {}
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)
-        if len(self) >= MOST_REMEMBERED:
+        if len(key) > LONGEST:
+            return value
+        if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
         self[key] = value
@@ -160,25 +218,38 @@ def encode_texts(docs: DataFrame, path: str, doc_id: str, text: str) -> DataFram
     ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys, "text")
     kind = docs.schema[doc_id].dataType.simpleString()
 
+    def gathered(batches: Iterator[pd.DataFrame]) -> Iterator[list[pd.DataFrame]]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += sum(map(len, batch["text"]))
+            if size >= TOGETHER:
+                yield held
+                held, size = [], 0
+        if held:
+            yield held
+
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, seq, offset = TaskContext.get().partitionId(), 0, 0
         total = np.zeros(0, np.int64)
         known = encoder(path)
-        end = np.array([END_ID], "<u4").tobytes()
-        for batch in batches:
-            coded = [np.frombuffer(known.encode(t) + end, "<u4") for t in batch["text"]]
-            n = np.array([len(ids) for ids in coded], np.int64)
-            own = np.bincount(np.concatenate(coded)) if coded else total[:0]
-            if len(own) > len(total):
-                own, total = total, own
-            total[:len(own)] += own
-            yield pd.DataFrame({
-                "part": part, "seq": np.arange(seq, seq + len(n)), "offset": offset + np.cumsum(n) - n,
-                "doc_id": batch["doc_id"], "n": n, "ids": [ids.astype("<u2").tobytes() if ids.max() < 1 << 16
-                                                           else ids.tobytes() for ids in coded],
-                "used": None, "counts": None,
-            })
-            seq, offset = seq + len(n), offset + int(n.sum())
+        end = np.array([END_ID], "<u4")
+        for held in gathered(batches):
+            together = iter(known.encode_all([text for batch in held for text in batch["text"]]))
+            for batch in held:
+                coded = [np.concatenate((ids, end)) for ids in islice(together, len(batch))]
+                n = np.array([len(ids) for ids in coded], np.int64)
+                own = np.bincount(np.concatenate(coded)) if coded else total[:0]
+                if len(own) > len(total):
+                    own, total = total, own
+                total[:len(own)] += own
+                yield pd.DataFrame({
+                    "part": part, "seq": np.arange(seq, seq + len(n)), "offset": offset + np.cumsum(n) - n,
+                    "doc_id": batch["doc_id"], "n": n, "ids": [ids.astype("<u2").tobytes() if ids.max() < 1 << 16
+                                                               else ids.tobytes() for ids in coded],
+                    "used": None, "counts": None,
+                })
+                seq, offset = seq + len(n), offset + int(n.sum())
         used = np.flatnonzero(total)
         yield pd.DataFrame({
             "part": [part], "seq": -1, "offset": -1, "doc_id": None, "n": 0, "ids": None,

@@ -99,6 +99,33 @@ def test_encoder_equals_the_library():
         assert np.frombuffer(known.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_texts_together_equal_the_library():
+    rng = random.Random(6)
+    parts = [" ", " ", " ", "  ", "\n", "\n", "\n\n", "\t", "a", "Bc", "ab", "don't", "'s", "'", "é", "ñu", "12", "...", "!", "\xa0", "\x85",
+             "\0", "\xad", "\u200b", "中", "ɐ", "😀", "<|endoftext|>", "<|", "word", "\r\n", "_", "\u0301", "a" * 99]
+    library = Tokenizer.from_file(FILE)
+    for seed in range(20):
+        texts = ["".join(rng.choice(parts[:24 if seed % 2 else None]) for _ in range(rng.randint(0, 15))) for _ in range(300)]
+        found = tokens.Encoder(FILE).encode_all(texts)
+        assert [ids.tolist() for ids in found] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert tokens.Encoder(FILE).encode_all([]) == []
+
+
+def test_each_word_goes_through_the_library_once():
+    known, calls = tokens.Encoder(FILE), Counter()
+    tokenize = known.tokenize
+    known.tokenize = lambda word: calls.update([word]) or tokenize(word)
+    stems = [f"{a}{b}qx" for a in ("ma", "no", "ti") for b in ("ra", "li", "ßo")]
+    texts = [f"Go {stem}{mark} {stem} {other}" for stem in stems for mark in ("", ".", "***", "\nThen", ";\nThen") for other in stems]
+    for at in range(0, len(texts), 100):
+        known.encode_all(texts[at:at + 100])
+    assert len(calls) == len(stems) + len(["Go", ".", "***", ";", "\n", "Then"])
+    assert set(calls.values()) == {1}
+    # Memory is bounded by the length of words as well.
+    known.encode_all(["Go " + "a" * 1000 + " " + "b" * 1000 + "! " + "c" * 1000])
+    assert max(len(word) for memory in (known.words, known.mixed, known.other) for word in memory) <= tokens.LONGEST
+
+
 @pytest.mark.parametrize("block", [500, 1 << 16])
 def test_token_files_round_trip(spark, block):
     docs = awkward(spark)
