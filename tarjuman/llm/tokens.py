@@ -46,7 +46,7 @@ END_ID = 0
 #: Words of letters, and other pieces, that are remembered at least, if they are no longer than this.
 MOST_WORDS, MOST_OTHERS, LONGEST = 600_000, 100_000, 64
 #: Characters of the texts that are encoded together.
-TOGETHER = 1 << 22
+TOGETHER = 1 << 21
 MARKS = string.punctuation
 #: What a blank is in the vocabulary of a byte-level tokenizer.
 BLANK = "\u0120"
